@@ -66,7 +66,7 @@ def running_avg(
     match = [df[k].eqNullSafe(hot[k]) for k in keys]
     usual = _window_sums(df.join(hot, match, "left_anti"), keys, order, value)
     split = _split_sums(
-        df.join(hot, match, "left_semi"), keys, order, value, parts=2 * -(-hot_rows // group_rows)
+        df.join(hot, match, "left_semi"), keys, order, value, parts=-(-hot_rows // group_rows)
     )
     return _averaged(usual.unionByName(split), value, unit)
 
