@@ -13,11 +13,11 @@ from pyspark.sql.streaming import StreamingQuery
 from eventfares.settings import BATCH_INTERVAL, session
 from eventfares.sources import feeds, parse
 from eventfares.sources.sinks import write_documents
-from eventfares.streaming.join import join_feeds, write_matches
+from eventfares.streaming.join import join_totals, write_matches
 from eventfares.streaming.run import start
-from eventfares.streaming.state import MATCH_COLUMNS, running_avg
+from eventfares.streaming.state import running_avg
 
-MATCH_SCHEMA = "event_city string, event_date date, price double"
+MATCH_SCHEMA = "event_city string, event_date date, total double, n bigint"
 
 
 def start_matching(
@@ -29,14 +29,14 @@ def start_matching(
     delay: str = BATCH_INTERVAL,
     once: bool = False,
 ) -> StreamingQuery:
-    """Stage one: feed directories to a table of matches under `work`."""
-    matches = join_feeds(
+    """Stage one: feed directories to a table of matched totals under `work`."""
+    matches = join_totals(
         parse.accepted(feeds.read_concerts_stream(spark, concerts)),
         parse.accepted(feeds.read_flights_stream(spark, fares)),
-        interval,
-        delay,
+        interval=interval,
+        delay=delay,
     )
-    writer = write_matches(matches, f"{work}/matches", MATCH_COLUMNS)
+    writer = write_matches(matches, f"{work}/matches")
     return start(writer, f"{work}/checkpoints/matches", interval, once)
 
 
@@ -47,7 +47,7 @@ def start_averaging(
     interval: str = BATCH_INTERVAL,
     once: bool = False,
 ) -> StreamingQuery:
-    """Stage two: the table of matches to documents."""
+    """Stage two: the table of matched totals to documents."""
     matches = spark.readStream.schema(MATCH_SCHEMA).parquet(f"{work}/matches")
     writer = write_documents(running_avg(matches), documents)
     return start(writer, f"{work}/checkpoints/averages", interval, once)

@@ -16,7 +16,7 @@ from eventfares.functions.scalars import zero_below
 from eventfares.operators import aggs, events, fares, joins, ordering
 from eventfares.plans import concert_feed as feed_plan
 from eventfares.plans import tables
-from eventfares.settings import DAYS_BEFORE, FARE_DAYS, new_path
+from eventfares.settings import FARE_DAYS, keep, new_path
 from eventfares.sources import feeds, pages, parse, sinks
 from eventfares.streaming import join as stream_join
 from eventfares.streaming import run, state
@@ -40,8 +40,9 @@ def _cents_flights(spark, sf_dir, *also):
 
 
 def _route_bases(flights: DataFrame) -> DataFrame:
-    """A stand-in for base prices, which are input: each route's lowest fare."""
-    return fares.route_range(flights, "cents").select(*fares.ROUTE, F.col("min_price").alias("base"))
+    """A stand-in for the table of base prices, which is input: each route's lowest fare."""
+    lowest = fares.route_range(flights, "cents")
+    return keep(lowest.select(*fares.ROUTE, F.col("min_price").alias("base")), "bases")
 
 
 # Averages and joins
@@ -76,9 +77,9 @@ def running_avg(spark, sf_dir):
 
 
 def running_avg_split(spark, sf_dir):
-    """The same, with every user who has more than 60 events treated as a hot key."""
+    """The same, with every user who has more than 80 events treated as a hot key."""
     amounts = tables.amounts(spark, sf_dir)
-    return ordering.running_avg(amounts, ["user_id"], ["event_id"], "cents", CENTS, group_rows=60)
+    return ordering.running_avg(amounts, ["user_id"], ["event_id"], "cents", CENTS, group_rows=80)
 
 
 def number_rows(spark, sf_dir):
@@ -411,29 +412,32 @@ def setlist_songs(spark, sf_dir):
 # Streams
 
 
-def _stream_matches(spark, sf_dir, base):
-    """Stage one on the given tables: feeds that arrive on their own dates, joined month by month."""
+def _table_feeds(spark, sf_dir):
+    """The given tables as feeds whose records arrive on their own dates."""
     concerts = tables.concerts(spark, sf_dir, tables.table_stream(spark, sf_dir, "orders"))
     flights = tables.arrivals(spark, sf_dir, tables.table_stream(spark, sf_dir, "lineitem"))
-    matches = stream_join.join_feeds(
+    return (
         concerts.withColumn("arrival", F.col("event_date").cast("timestamp")),
         flights.withColumn("arrival", F.col("flight_date").cast("timestamp")).withColumnRenamed(
             "cents", "price"
         ),
-        STREAM_INTERVAL,
-        STREAM_DELAY,
-        DAYS_BEFORE,
     )
-    writer = stream_join.write_matches(matches, f"{base}/matches", state.MATCH_COLUMNS)
-    run.run_once(writer, f"{base}/checkpoints/matches")
-    schema = "event_city string, event_date date, price bigint"
+
+
+def _run_matching(spark, matches, base):
+    """Stage one, then its table as a stream."""
+    schema = matches.schema
+    run.run_once(stream_join.write_matches(matches, f"{base}/matches"), f"{base}/checkpoints/matches")
     return spark.readStream.schema(schema).parquet(f"{base}/matches")
 
 
 def stream_event_fare_avg(spark, sf_dir):
     """Both stages, and the documents they leave: the last one of each key is its average."""
     base = new_path(spark, "stream-avg")
-    averages = state.running_avg(_stream_matches(spark, sf_dir, base), CENTS)
+    totals = stream_join.join_totals(
+        *_table_feeds(spark, sf_dir), interval=STREAM_INTERVAL, delay=STREAM_DELAY
+    )
+    averages = state.running_avg(_run_matching(spark, totals, base), CENTS)
     run.run_once(sinks.write_documents(averages, f"{base}/documents"), f"{base}/checkpoints/averages")
     documents = spark.read.schema(
         "event_city string, event_date string, avg_price double, batch bigint"
@@ -446,14 +450,19 @@ def stream_event_fare_avg(spark, sf_dir):
 def stream_running_avg_per_record(spark, sf_dir):
     """Stage two record by record: the last row of each key is its average."""
     base = new_path(spark, "stream-record")
-    matches = _stream_matches(spark, sf_dir, base)
-    state.use_rocksdb(spark)
-    each = state.running_avg_per_record(matches, CENTS)
+    matches = stream_join.join_feeds(
+        *_table_feeds(spark, sf_dir), interval=STREAM_INTERVAL, delay=STREAM_DELAY
+    ).select(*state.KEY, "price")
+    pairs = _run_matching(spark, matches, base)
+    each = state.running_avg_per_record(pairs, CENTS)
     writer = each.writeStream.outputMode("append").format("parquet").option("path", f"{base}/each")
-    run.run_once(writer, f"{base}/checkpoints/each")
+    with state.rocksdb_state(spark):
+        run.run_once(writer, f"{base}/checkpoints/each")
     rows = spark.read.schema(state.AVERAGES).parquet(f"{base}/each")
     last = rows.groupBy(*state.KEY).agg(
-        F.max_by("avg_price", "n").alias("avg_price"), F.max("n").alias("n"), F.count("*").alias("emitted")
+        F.max_by("avg_price", "n").alias("avg_price"),
+        F.max("n").alias("n"),
+        F.count("*").alias("emitted"),
     )
     return _text_dates(last)
 

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from eventfares.functions.scalars import days_before
 from eventfares.settings import BATCH_INTERVAL, DAYS_BEFORE
 from eventfares.sources.feeds import ARRIVAL
+from eventfares.streaming.combine import combine
 
 
 def join_feeds(
@@ -17,7 +18,7 @@ def join_feeds(
     interval: str = BATCH_INTERVAL,
     delay: str = BATCH_INTERVAL,
     days: int = DAYS_BEFORE,
-    salts: int = 8,
+    salts: int = 4,
 ) -> DataFrame:
     """Concerts with the fares 1 to `days` days before, where both arrived in the same `interval`.
 
@@ -43,11 +44,39 @@ def join_feeds(
     return wanted.join(fares, ["interval", "event_city", "flight_date", "_salt"]).drop("_salt")
 
 
-def write_matches(matches: DataFrame, path: str, columns: list[str]) -> DataStreamWriter:
-    """Append matches to Parquet. The sink's own log makes a replayed batch count once."""
-    return (
-        matches.select(*columns).writeStream.outputMode("append").format("parquet").option("path", path)
+def join_totals(
+    concerts: DataFrame,
+    flights: DataFrame,
+    price: str = "price",
+    interval: str = BATCH_INTERVAL,
+    delay: str = BATCH_INTERVAL,
+    days: int = DAYS_BEFORE,
+) -> DataFrame:
+    """The matches of `join_feeds` in sums: event_city, event_date, `total` of prices, and `n`.
+
+    Each task first adds up the fares of a (city, date) and counts the concerts of one, so the join
+    keeps and emits sums instead of pairs, and a hot key is a few rows per task. Totals of several
+    rows with one key are to be added up.
+    """
+    held = combine(concerts, interval, ["event_city", "event_date"])
+    fares = combine(flights, interval, ["end_city", "flight_date"], price)
+    wanted = (
+        _in_interval(held, interval, delay)
+        .withColumnRenamed("n", "_concerts")
+        .withColumn("flight_date", F.explode(days_before(F.col("event_date"), days)))
     )
+    served = _in_interval(fares, interval, delay).withColumnRenamed("end_city", "event_city")
+    return wanted.join(served, ["interval", "event_city", "flight_date"]).select(
+        "event_city",
+        "event_date",
+        (F.col("total") * F.col("_concerts")).alias("total"),
+        (F.col("n") * F.col("_concerts")).alias("n"),
+    )
+
+
+def write_matches(matches: DataFrame, path: str) -> DataStreamWriter:
+    """Append matches to Parquet. The sink's own log makes a replayed batch count once."""
+    return matches.writeStream.outputMode("append").format("parquet").option("path", path)
 
 
 def _in_interval(feed: DataFrame, interval: str, delay: str) -> DataFrame:

@@ -3,37 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 KEY = ["event_city", "event_date"]
-MATCH_COLUMNS = [*KEY, "price"]
 AVERAGES = "event_city string, event_date date, avg_price double, n bigint"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def running_avg(matches: DataFrame, unit: float = 1.0) -> DataFrame:
+def running_avg(totals: DataFrame, unit: float = 1.0) -> DataFrame:
     """Average and count per city and date; in update mode each batch emits the keys it changed.
 
-    Prices are combined before they are shuffled, and state is one row per key, kept for good.
+    Takes rows of `total` and `n`. They are added up before they are shuffled, and state is one row
+    per key, kept for good.
     """
     return (
-        matches.groupBy(*KEY)
-        .agg(F.sum("price").alias("_total"), F.count("price").alias("n"))
+        totals.groupBy(*KEY)
+        .agg(F.sum("total").alias("_total"), F.sum("n").alias("n"))
         .select(*KEY, (F.col("_total").cast("double") / F.col("n") / unit).alias("avg_price"), "n")
     )
 
 
 def running_avg_per_record(matches: DataFrame, unit: float = 1.0) -> DataFrame:
-    """The average after every single match: one row out for each row in.
+    """The average after every single match: one row out for each row (of a `price`) in.
 
-    Needs the RocksDB state store, see `use_rocksdb`.
+    Start the query inside `rocksdb_state`.
     """
-    return matches.groupBy(*KEY).transformWithStateInPandas(
+    return matches.groupBy(*KEY).transformWithState(
         statefulProcessor=_RunningMean(unit),
         outputStructType=AVERAGES,
         outputMode="Append",
@@ -41,13 +41,26 @@ def running_avg_per_record(matches: DataFrame, unit: float = 1.0) -> DataFrame:
     )
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keep state in RocksDB, for the streams started from now on."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started within keep their state in RocksDB, as per-record state requires."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(PROVIDER)
+        else:
+            spark.conf.set(PROVIDER, before)
 
 
 class _RunningMean(StatefulProcessor):
-    """Keeps a key's sum and count; rows pass through in Arrow batches, never all at once."""
+    """Keeps a key's sum and count.
+
+    Rows come as an iterator over Arrow batches, so a key's rows are never all held. Plain rows beat
+    data frames here: a key has few rows per batch, and a frame for each costs more than they do.
+    """
 
     def __init__(self, unit: float) -> None:
         self._unit = unit
@@ -55,20 +68,12 @@ class _RunningMean(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._seen = handle.getValueState("seen", "total double, n bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        total, n = self._seen.get() if self._seen.exists() else (0.0, 0)
-        for batch in rows:
-            totals = total + batch["price"].to_numpy(dtype="float64").cumsum()
-            counts = n + np.arange(1, len(batch) + 1)
-            total, n = float(totals[-1]), int(counts[-1])
-            yield pd.DataFrame(
-                {
-                    "event_city": key[0],
-                    "event_date": key[1],
-                    "avg_price": totals / counts / self._unit,
-                    "n": counts,
-                }
-            )
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        city, day = key
+        total, n = self._seen.get() or (0.0, 0)
+        for row in rows:
+            total, n = total + row["price"], n + 1
+            yield Row(event_city=city, event_date=day, avg_price=total / n / self._unit, n=n)
         self._seen.update((total, n))
 
     def close(self) -> None:
