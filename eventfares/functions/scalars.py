@@ -49,3 +49,12 @@ def instant_text(moment: Column) -> Column:
 def compact_stamp(moment: Column) -> Column:
     """`yyyyMMddHHmmss` text of a timestamp."""
     return F.date_format(moment, COMPACT_STAMP)
+
+
+def once(costly: Column) -> Column:
+    """The value of a costly expression, worked out once per row.
+
+    A filter on a plain projection is moved below it together with a copy of the expression, once
+    for every mention. It cannot be moved below a generator; this is one with a single element.
+    """
+    return F.explode(F.array(costly))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventfares.functions.scalars import once
 from eventfares.schemas import CORRUPT, EVENT, SETLIST, page
 
 EVENT_LIST = "event"
@@ -56,10 +57,10 @@ def _decode(bodies: DataFrame, enclosure: str, item: str) -> tuple[DataFrame, Da
     others = [c for c in bodies.columns if c != "body"]
     schema = f"{page(enclosure, item)}, {CORRUPT} string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    pages = bodies.withColumn("_page", F.from_json("body", schema, options))
+    pages = bodies.select("*", once(F.from_json("body", schema, options)).alias("_page"))
     items, reason = F.col(f"_page.resultsPage.results.{enclosure}"), _reason(enclosure)
 
-    good = pages.where(reason.isNull()).select(*others, F.explode(items).alias("_item"))
+    good = pages.select(*others, F.explode(F.when(reason.isNull(), items)).alias("_item"))
     bad = pages.where(reason.isNotNull()).select(*others, "body", reason.alias("reason"))
     return good.select(*others, "_item.*"), bad
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventfares.functions.convert import DATE_FORMAT
+from eventfares.functions.scalars import once
 from eventfares.schemas import CONCERTS, CORRUPT, FLIGHTS
 
 CSV_OPTIONS = {
@@ -57,8 +58,8 @@ def _parse(lines: DataFrame, schema: str, line: str) -> DataFrame:
     others = [c for c in lines.columns if c != line]
     # Empty trailing fields do not count, as with a split that drops them.
     text = F.regexp_replace(line, ",+$", "")
-    record = F.from_csv(text, f"{schema}, {CORRUPT} string", CSV_OPTIONS)
-    records = lines.select(line, *others, record.alias("_record")).select(line, *others, "_record.*")
+    record = once(F.from_csv(text, f"{schema}, {CORRUPT} string", CSV_OPTIONS)).alias("_record")
+    records = lines.select(line, *others, record).select(line, *others, "_record.*")
     names = T.StructType.fromDDL(schema).fieldNames()
     return complete(records, schema, line).select(*names, CORRUPT, *others)
 
