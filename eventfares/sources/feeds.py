@@ -65,8 +65,8 @@ def read_concerts(spark: SparkSession, path: str, header: bool = True) -> DataFr
         .options(header=header, columnPruning=False, **parse.CSV_OPTIONS)
         .csv(path)
     )
-    line = F.concat_ws(",", "concert_id", "artist", "event_date", "event_city")
-    checked = parse.complete(raw.withColumn("_line", line), CONCERTS, "_line").drop("_line")
+    read = F.concat_ws(",", "concert_id", "artist", "event_date", "event_city")
+    checked = parse.complete(raw, CONCERTS, F.coalesce(CORRUPT, read))
     return checked.withColumn("event_city", city_name(F.col("event_city")))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,8 +38,11 @@ def rejected(records: DataFrame) -> DataFrame:
     return records.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"), *extra)
 
 
-def complete(records: DataFrame, schema: str, source: str) -> DataFrame:
-    """Fill absent text with the empty string, and mark records that lack any other field."""
+def complete(records: DataFrame, schema: str, line: Column) -> DataFrame:
+    """Fill absent text with the empty string, and mark records that lack any other field.
+
+    The marker holds `line`, the text of the record.
+    """
     fields = T.StructType.fromDDL(schema).fields
     typed = [f.name for f in fields if not isinstance(f.dataType, T.StringType)]
     lacking = F.lit(False)
@@ -50,7 +53,7 @@ def complete(records: DataFrame, schema: str, source: str) -> DataFrame:
         for f in fields
         if isinstance(f.dataType, T.StringType)
     }
-    marked = F.when(F.col(CORRUPT).isNotNull() | lacking, F.coalesce(CORRUPT, F.col(source), F.lit("")))
+    marked = F.when(F.col(CORRUPT).isNotNull() | lacking, F.coalesce(line, F.lit("")))
     return records.withColumns({CORRUPT: marked, **text})
 
 
@@ -61,7 +64,7 @@ def _parse(lines: DataFrame, schema: str, line: str) -> DataFrame:
     record = once(F.from_csv(text, f"{schema}, {CORRUPT} string", CSV_OPTIONS)).alias("_record")
     records = lines.select(line, *others, record).select(line, *others, "_record.*")
     names = T.StructType.fromDDL(schema).fieldNames()
-    return complete(records, schema, line).select(*names, CORRUPT, *others)
+    return complete(records, schema, F.col(line)).select(*names, CORRUPT, *others)
 
 
 def _field_names(records: DataFrame) -> set[str]:

@@ -1,0 +1,126 @@
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventfares.operators import fares
+from eventfares.sources import feeds, parse, sinks
+
+from .conftest import day
+
+NOON = dt.datetime(2018, 11, 1, 12, tzinfo=dt.timezone.utc)
+
+
+def lines(spark, *texts):
+    return spark.createDataFrame([(t,) for t in texts], "value string")
+
+
+def test_concert_line(spark):
+    row = parse.accepted(parse.concerts(lines(spark, "7,Artist A,2018-11-16,Dublin"))).first()
+    assert tuple(row) == (7, "Artist A", day("2018-11-16"), "Dublin")
+
+
+def test_flight_lines_with_whole_and_decimal_prices(spark):
+    rows = parse.accepted(
+        parse.flights(lines(spark, "Paris,Dublin,2018-11-12,1500", "Paris,Dublin,2018-11-13,1234.0"))
+    ).collect()
+    assert [r.price for r in rows] == [1500.0, 1234.0]
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        "x",
+        "",
+        "1,2,3,4,5",
+        "concert_id,artist,date,city",
+        "1,A,2018-13-01,Dublin",
+        "1,A,2018-1-1,Dublin",
+        "1.5,A,2018-11-01,Dublin",
+        " 1,A,2018-11-01,Dublin",
+        ",A,2018-11-01,Dublin",
+        "1,A,,Dublin",
+        "1,A,2018-11-01,",
+        "99999999999,A,2018-11-01,Dublin",
+    ],
+)
+def test_bad_concert_lines_are_set_aside(spark, line):
+    records = parse.concerts(lines(spark, line, "1,A,2018-11-01,Dublin"))
+    assert parse.accepted(records).count() == 1
+    assert [r.line for r in parse.rejected(records).collect()] == [line]
+
+
+def test_empty_text_and_trailing_commas_are_accepted(spark):
+    rows = parse.accepted(parse.concerts(lines(spark, "1,,2018-11-01,Dublin", "2,B,2018-11-01,Rome,,")))
+    assert [(r.concert_id, r.artist, r.event_city) for r in rows.collect()] == [
+        (1, "", "Dublin"),
+        (2, "B", "Rome"),
+    ]
+
+
+def test_rejected_keeps_the_arrival(spark):
+    with_arrival = lines(spark, "bad").withColumn("arrival", F.lit(NOON))
+    assert parse.rejected(parse.flights(with_arrival)).columns == ["line", "arrival"]
+
+
+def test_sample_form_reads_like_the_feed_form(spark, tmp_path):
+    (tmp_path / "sample.csv").write_text(
+        'concert_id,artist,date,city\n0,Artist A,2018-11-16,"Dublin, Ireland"\nbroken\n1,,2018-11-17,Rome\n'
+    )
+    records = feeds.read_concerts(spark, str(tmp_path / "sample.csv"))
+    assert parse.rejected(records).count() == 1
+    good = parse.accepted(records)
+    assert [tuple(r) for r in good.orderBy("concert_id").collect()] == [
+        (0, "Artist A", day("2018-11-16"), "Dublin"),
+        (1, "", day("2018-11-17"), "Rome"),
+    ]
+    assert good.count() == 2  # also when no column is read
+
+
+def test_city_list_loses_its_byte_order_mark(spark, tmp_path):
+    (tmp_path / "cities.csv").write_bytes("﻿Salzburg\nMálaga\nZürich\n".encode())
+    names = [r.city for r in feeds.read_cities(spark, str(tmp_path / "cities.csv")).collect()]
+    assert names == ["Salzburg", "Málaga", "Zürich"]
+
+
+def test_snapshot_and_changes_form_one_feed(spark, tmp_path, make_flights):
+    feed = str(tmp_path / "fares")
+    old = make_flights(("P", "D", "2018-11-12", 2.5), ("P", "D", "2018-11-13", 3.5), ("P", "R", "2018-11-13", 0))
+    new = make_flights(("P", "D", "2018-11-12", 2.5), ("P", "D", "2018-11-13", 8.5), ("P", "R", "2018-11-13", 7))
+    target = sinks.write_feed(sinks.fare_snapshot(old), feed, NOON)
+    assert target.endswith("snapshot=20181101120000")
+    texts = sorted(r.value for r in spark.read.text(target).collect())
+    assert texts == ["P,D,2018-11-12,2", "P,D,2018-11-13,4"]
+
+    changed = sinks.fare_changes(fares.diff(old, new))
+    target = sinks.write_feed(changed, feed, NOON + dt.timedelta(seconds=20))
+    texts = sorted(r.value for r in spark.read.text(target).collect())
+    assert texts == ["P,D,2018-11-13,8.0", "P,R,2018-11-13,7.0"]
+
+    assert parse.accepted(feeds.read_flights(spark, feed)).count() == 4
+
+
+def test_recent_files(spark, tmp_path):
+    for name, age in (("old", 201), ("edge", 200), ("new", 0)):
+        path = tmp_path / f"{name}.csv"
+        path.write_text(f"{name}\n")
+        os.utime(path, (NOON.timestamp() - age,) * 2)
+    kept = feeds.recent_files(feeds.feed_lines(spark, str(tmp_path)), NOON)
+    assert sorted(r.value for r in kept.collect()) == ["edge", "new"]
+
+
+def test_old_files_are_pruned_from_the_scan(spark, tmp_path):
+    for name, age in (("old", 500), ("new", 0)):
+        path = tmp_path / f"{name}.csv"
+        path.write_text(f"{name}\n" * 1000)
+        os.utime(path, (NOON.timestamp() - age,) * 2)
+    kept = feeds.recent_files(feeds.feed_lines(spark, str(tmp_path)), NOON)
+    assert kept.rdd.getNumPartitions() == 1
+
+
+def test_empty_text_survives_a_round_trip(spark, tmp_path, make_concerts):
+    concerts = make_concerts((1, "2018-11-01", "Dublin")).withColumn("artist", F.lit(""))
+    sinks.write_feed(sinks.concert_snapshot(concerts), str(tmp_path / "feed"), NOON)
+    read = parse.accepted(parse.concerts(feeds.feed_lines(spark, str(tmp_path / "feed"))))
+    assert read.first().artist == ""
