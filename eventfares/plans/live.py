@@ -1,6 +1,6 @@
 """The live job: two feed directories in, documents with the current average fares out.
 
-    spark-submit --py-files eventfares.zip -m eventfares.plans.live CONCERTS FARES WORK DOCUMENTS
+Run by `eventfares_live.py CONCERTS FARES WORK DOCUMENTS`.
 """
 
 from __future__ import annotations
@@ -54,7 +54,7 @@ def start_averaging(
 
 
 def main() -> None:
-    args = argparse.ArgumentParser(description=__doc__)
+    args = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     args.add_argument("concerts")
     args.add_argument("fares")
     args.add_argument("work")

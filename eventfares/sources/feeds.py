@@ -29,8 +29,8 @@ def feed_lines_stream(
 ) -> DataFrame:
     """The same lines as a stream that picks up new files.
 
-    `retention_seconds` skips files that much older than the newest; `archive` moves read files
-    there; `max_files` bounds a batch.
+    `retention_seconds` skips files that much older than the newest read so far, once a first batch
+    has read what was there; `archive` moves read files there; `max_files` bounds a batch.
     """
     reader = spark.readStream.option("recursiveFileLookup", True)
     if retention_seconds is not None:
