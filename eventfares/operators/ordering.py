@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from eventfares.settings import GROUP_ROWS, keep
 
 _POSITION_BITS = 33  # monotonically_increasing_id() holds the partition above, the row below
+_SCANNED = "_scanned"
 
 
 def number_rows(
@@ -16,13 +17,16 @@ def number_rows(
     """Add dense row numbers in the given order, without passing the rows through one task.
 
     Rows are range-partitioned and sorted once, each with its place in its partition, and written.
-    The number is that place plus the row count of all earlier partitions. Order columns should
-    identify a row; ties get arbitrary, still dense, numbers.
+    The number is that place plus the row count of all earlier partitions. Rows that tie are
+    numbered in the order they were scanned, and may be split over partitions like any others.
     """
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    full_order = [*order, _SCANNED]
     placed = keep(
-        df.repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
+        _scanned(df, "to-number")
+        .repartitionByRange(parts, *full_order)
+        .sortWithinPartitions(*full_order)
+        .drop(_SCANNED)
         .withColumn("_place", F.monotonically_increasing_id()),
         "numbered",
     ).withColumn("_part", F.shiftright("_place", _POSITION_BITS))
@@ -42,6 +46,16 @@ def number_rows(
     )
 
 
+def _scanned(df: DataFrame, label: str) -> DataFrame:
+    """The rows with their place in a table written for it, which breaks ties between copies.
+
+    A scan gives the same places whenever it is repeated, as when a lost task runs again; rows that
+    come out of a shuffle would not. Reading a table also spares working out `df` a second time to
+    sample it for range bounds.
+    """
+    return keep(df, label).withColumn(_SCANNED, F.monotonically_increasing_id())
+
+
 def running_avg(
     df: DataFrame,
     keys: list[str],
@@ -54,7 +68,7 @@ def running_avg(
 
     A window per key does it, unless some key has more than `group_rows` rows. The rows of such keys
     are spread over range partitions of (key, order); each partition runs its own window, and the
-    sums of the key's earlier partitions are added. `order` should identify a row within a key.
+    sums of the key's earlier partitions are added. Rows of a key that tie come in no set order.
     """
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
     # At most total / group_rows keys. Written, so that its true size decides how it is joined.
@@ -83,9 +97,12 @@ def _window_sums(df: DataFrame, keys: list[str], order: list[str], value: str) -
 def _split_sums(
     df: DataFrame, keys: list[str], order: list[str], value: str, parts: int
 ) -> DataFrame:
+    full_order = [*order, _SCANNED]
     placed = keep(
-        df.repartitionByRange(parts, *keys, *order).withColumn("_part", F.spark_partition_id()),
-        "hot-rows",
+        _scanned(df, "hot-rows")
+        .repartitionByRange(parts, *keys, *full_order)
+        .withColumn("_part", F.spark_partition_id()),
+        "hot-parts",
     )
     earlier = (
         Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -102,7 +119,7 @@ def _split_sums(
         .where("_n_before is not null"),
         "hot-offsets",
     )
-    local = _window_sums(placed, [*keys, "_part"], order, value)
+    local = _window_sums(placed, [*keys, "_part"], full_order, value)
     match = [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in [*keys, "_part"]]
     total = F.coalesce(F.col("_total_before") + F.col("_total"), "_total", "_total_before")
     return local.join(before, match, "left").select(

@@ -7,6 +7,9 @@ sums are exact. Dimension joins carry no hint: the planner broadcasts a table or
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,13 +97,19 @@ def amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing pages built from the orders, as JSON text, up to `PAGE_EVENTS` events each."""
-    # An order number occurs once, so a page's group has at most PAGE_EVENTS rows.
-    return (
-        _events(spark, sf_dir)
-        .groupBy(F.floor(F.col("event.id") / PAGE_EVENTS))
-        .agg(F.collect_list("event").alias("event"))
-        .select(_body(F.struct("event")).alias("body"))
-    )
+    items = _events(spark, sf_dir).select(F.to_json("event").alias("body"))
+    return items.mapInPandas(_bind, "body string")
+
+
+def _bind(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Consecutive events of a task onto pages, by putting their JSON side by side."""
+    for batch in batches:
+        pages = [
+            ",".join(batch["body"].iloc[first : first + PAGE_EVENTS])
+            for first in range(0, len(batch), PAGE_EVENTS)
+        ]
+        bodies = [f'{{"resultsPage":{{"results":{{"event":[{events}]}}}}}}' for events in pages]
+        yield pd.DataFrame({"body": bodies}, dtype="object")
 
 
 def setlist_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,12 +132,12 @@ def setlist_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return table(spark, sf_dir, "conversations").select(
         F.col("conv_id").alias("event_id"),
-        _body(F.struct(F.array(setlist).alias("setlist"))).alias("body"),
+        F.to_json(_page(F.struct(F.array(setlist).alias("setlist")))).alias("body"),
     )
 
 
-def _body(results: Column) -> Column:
-    return F.to_json(F.struct(F.struct(results.alias("results")).alias("resultsPage")))
+def _page(results: Column) -> Column:
+    return F.struct(F.struct(results.alias("results")).alias("resultsPage"))
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:

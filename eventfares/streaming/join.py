@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -27,21 +27,27 @@ def join_feeds(
     until then it meets every later partner, so `delay` must cover how far arrivals are out of order.
 
     A state key belongs to one task, so a hot one is dealt out over `salts` tasks: each fare to one
-    of them, whatever it holds, and each concert to all. The draw is seeded and follows the place in
-    the scanned files, and so is the same when a task reads them again.
+    of them by its content, and each concert to all. Copies, which content cannot tell apart, are
+    counted within each task instead, and take their number again after the join.
     """
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    held = combine(concerts, interval, [c for c in concerts.columns if c != ARRIVAL])
+    fares = combine(flights, interval, [c for c in flights.columns if c != ARRIVAL])
+    salt = F.pmod(F.xxhash64(*[c for c in flights.columns if c != ARRIVAL]), F.lit(salts))
     wanted = (
-        _in_interval(concerts, interval, delay)
+        _in_interval(held, interval, delay)
+        .withColumnRenamed("n", "_concerts")
         .withColumn("flight_date", F.explode(days_before(F.col("event_date"), days)))
-        .withColumn("_salt", F.explode(every))
+        .withColumn("_salt", F.explode(_range(0, F.lit(salts - 1))))
     )
-    fares = (
-        _in_interval(flights, interval, delay)
+    served = (
+        _in_interval(fares.withColumn("_salt", salt), interval, delay)
+        .withColumnRenamed("n", "_fares")
         .withColumnRenamed("end_city", "event_city")
-        .withColumn("_salt", (F.rand(seed=0) * salts).cast("int"))
     )
-    return wanted.join(fares, ["interval", "event_city", "flight_date", "_salt"]).drop("_salt")
+    pairs = wanted.join(served, ["interval", "event_city", "flight_date", "_salt"])
+    for copies in ("_concerts", "_fares"):
+        pairs = pairs.withColumn("_copy", F.explode(_range(1, F.col(copies)))).drop("_copy", copies)
+    return pairs.drop("_salt")
 
 
 def join_totals(
@@ -79,6 +85,10 @@ def write_matches(matches: DataFrame, path: str) -> DataStreamWriter:
     return matches.writeStream.outputMode("append").format("parquet").option("path", path)
 
 
+def _range(first: int, last: Column) -> Column:
+    return F.sequence(F.lit(first).cast("long"), last.cast("long"))
+
+
 def _in_interval(feed: DataFrame, interval: str, delay: str) -> DataFrame:
     # Only one event-time column may stay, so the arrival gives way to its interval.
     return (
