@@ -9,20 +9,12 @@ from eventfares.functions.scalars import days_before
 from eventfares.settings import DAYS_BEFORE
 
 
-def event_flights(concerts: DataFrame, flights: DataFrame) -> DataFrame:
-    """Every concert with every fare to its city, whatever the dates.
+def city_totals(concerts: DataFrame, flights: DataFrame, price: str = "price") -> DataFrame:
+    """Concerts and the fares to their city, whatever the dates, in figures per city.
 
-    The result grows with concerts times fares per city. Prefer `event_flights_window` for rows and
-    `event_flight_totals` for figures.
-    """
-    return concerts.join(flights, concerts["event_city"] == flights["end_city"])
-
-
-def event_flight_totals(concerts: DataFrame, flights: DataFrame, price: str = "price") -> DataFrame:
-    """What `event_flights` holds per city, without listing its pairs.
-
-    Each concert of a city meets each fare to it, so both sides are reduced to one row per city
-    before they meet: the pair count is the product, and the mean fare is that of the fares alone.
+    Every concert of a city meets every fare to it, and the pairs themselves are of no use before
+    their dates are compared (see `event_flights_window`). So both sides are reduced to one row per
+    city before they meet: the number of pairs is the product, the mean fare that of the fares.
     """
     per_city = concerts.groupBy("event_city").agg(F.count("*").alias("n_concerts"))
     fares = flights.groupBy(F.col("end_city").alias("event_city")).agg(

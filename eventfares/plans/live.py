@@ -8,9 +8,10 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventfares.settings import BATCH_INTERVAL, session
+from eventfares.settings import ARRIVAL_DELAY, BATCH_INTERVAL, session
 from eventfares.sources import feeds, parse
 from eventfares.sources.sinks import write_documents
 from eventfares.streaming.join import join_totals, write_matches
@@ -26,7 +27,7 @@ def start_matching(
     fares: str,
     work: str,
     interval: str = BATCH_INTERVAL,
-    delay: str = BATCH_INTERVAL,
+    delay: str = ARRIVAL_DELAY,
     once: bool = False,
 ) -> StreamingQuery:
     """Stage one: feed directories to a table of matched totals under `work`."""
@@ -40,6 +41,28 @@ def start_matching(
     return start(writer, f"{work}/checkpoints/matches", interval, once)
 
 
+def start_quarantine(
+    spark: SparkSession,
+    concerts: str,
+    fares: str,
+    work: str,
+    interval: str = BATCH_INTERVAL,
+    once: bool = False,
+) -> StreamingQuery:
+    """Lines of either feed that do not parse, to a table under `work`."""
+    rejects = [
+        parse.rejected(records).select(F.lit(feed).alias("feed"), feeds.ARRIVAL, "line")
+        for feed, records in (
+            ("concerts", feeds.read_concerts_stream(spark, concerts)),
+            ("fares", feeds.read_flights_stream(spark, fares)),
+        )
+    ]
+    writer = rejects[0].unionByName(rejects[1]).writeStream.format("parquet")
+    return start(
+        writer.option("path", f"{work}/rejects"), f"{work}/checkpoints/rejects", interval, once
+    )
+
+
 def start_averaging(
     spark: SparkSession,
     work: str,
@@ -60,21 +83,24 @@ def main() -> None:
     args.add_argument("work")
     args.add_argument("documents")
     args.add_argument("--interval", default=BATCH_INTERVAL)
-    args.add_argument("--delay", default=BATCH_INTERVAL)
+    args.add_argument("--delay", default=ARRIVAL_DELAY)
     args.add_argument("--once", action="store_true", help="process what is there, then stop")
     given = args.parse_args()
 
     spark = session("live-event-fares")
-    matching = start_matching(
-        spark, given.concerts, given.fares, given.work, given.interval, given.delay, given.once
-    )
-    if given.once:
-        matching.awaitTermination()
-    averaging = start_averaging(spark, given.work, given.documents, given.interval, given.once)
-    if given.once:
-        averaging.awaitTermination()
-    else:
+    feeds_and_work = (given.concerts, given.fares, given.work)
+    pace = {"interval": given.interval, "once": given.once}
+    first = [
+        start_matching(spark, *feeds_and_work, delay=given.delay, **pace),
+        start_quarantine(spark, *feeds_and_work, **pace),
+    ]
+    if not given.once:
+        start_averaging(spark, given.work, given.documents, **pace)
         spark.streams.awaitAnyTermination()
+        return
+    for query in first:
+        query.awaitTermination()
+    start_averaging(spark, given.work, given.documents, **pace).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -93,7 +93,7 @@ ORACLE: dict[str, str] = {
     + f"""SELECT event_city, CAST(event_date AS VARCHAR) AS event_date, {MEAN} AS avg_price,
        count(*) AS n
 FROM matches GROUP BY event_city, matches.event_date""",
-    "event_flights": _with(CONCERTS, ARRIVALS)
+    "city_totals": _with(CONCERTS, ARRIVALS)
     + """SELECT event_city, n_concerts, n_flights,
        CAST(n_concerts AS DOUBLE) * n_flights AS pairs,
        CAST(total AS DOUBLE) / n_flights AS avg_price

@@ -53,9 +53,9 @@ def event_fare_avg(spark, sf_dir):
     return _text_dates(aggs.event_fare_avg(concerts, arrivals, "cents", CENTS))
 
 
-def event_flights(spark, sf_dir):
+def city_totals(spark, sf_dir):
     concerts, arrivals = tables.concerts(spark, sf_dir), tables.arrivals(spark, sf_dir)
-    return joins.event_flight_totals(concerts, arrivals, "cents")
+    return joins.city_totals(concerts, arrivals, "cents")
 
 
 def event_flights_window(spark, sf_dir):
@@ -471,7 +471,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         event_fare_avg,
-        event_flights,
+        city_totals,
         event_flights_window,
         to_documents,
         running_avg,

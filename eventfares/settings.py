@@ -28,6 +28,8 @@ CAP_FACTOR = 2
 PRESENCE_THRESHOLD = 0.1
 RETENTION_SECONDS = 200
 BATCH_INTERVAL = "22 seconds"
+# A file past its retention is gone from the feed, so none arrives later than that.
+ARRIVAL_DELAY = f"{RETENTION_SECONDS} seconds"
 SHOWN_ROWS = 10
 
 # A group larger than this is split over several tasks where one task would otherwise hold it.

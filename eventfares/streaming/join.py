@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from eventfares.functions.scalars import days_before
-from eventfares.settings import BATCH_INTERVAL, DAYS_BEFORE
+from eventfares.settings import ARRIVAL_DELAY, BATCH_INTERVAL, DAYS_BEFORE
 from eventfares.sources.feeds import ARRIVAL
 from eventfares.streaming.combine import combine
 
@@ -16,7 +16,7 @@ def join_feeds(
     concerts: DataFrame,
     flights: DataFrame,
     interval: str = BATCH_INTERVAL,
-    delay: str = BATCH_INTERVAL,
+    delay: str = ARRIVAL_DELAY,
     days: int = DAYS_BEFORE,
     salts: int = 4,
 ) -> DataFrame:
@@ -55,7 +55,7 @@ def join_totals(
     flights: DataFrame,
     price: str = "price",
     interval: str = BATCH_INTERVAL,
-    delay: str = BATCH_INTERVAL,
+    delay: str = ARRIVAL_DELAY,
     days: int = DAYS_BEFORE,
 ) -> DataFrame:
     """The matches of `join_feeds` in sums: event_city, event_date, `total` of prices, and `n`.

@@ -9,11 +9,16 @@ from pyspark.sql import functions as F
 
 from eventfares.functions.scalars import in_window
 from eventfares.operators.aggs import event_fare_avg
-from eventfares.operators.joins import event_flight_totals, event_flights, event_flights_window
+from eventfares.operators.joins import city_totals, event_flights_window
 
 from .conftest import CONCERTS, FLIGHTS, day
 
 
+def all_pairs(concerts, flights):
+    """The plain join on city, for small inputs."""
+    return concerts.join(flights, concerts["event_city"] == flights["end_city"])
+
+
 def naive(concerts, flights):
     """(city, date) -> [prices] by nested loops."""
     found = {}
@@ -80,7 +85,7 @@ def test_all_forms_agree_with_nested_loops(make_concerts, make_flights):
     averaged = averages(event_fare_avg(c, f))
     assert averaged == {k: (sum(v) / len(v), len(v)) for k, v in expected.items()}
 
-    ranged = event_flights(c, f).where(in_window(F.col("flight_date"), F.col("event_date")))
+    ranged = all_pairs(c, f).where(in_window(F.col("flight_date"), F.col("event_date")))
     for joined in (event_flights_window(c, f), ranged):
         pairs = sorted((r.event_city, r.event_date, r.price) for r in joined.collect())
         assert pairs == sorted((*k, p) for k, v in expected.items() for p in v)
@@ -89,8 +94,8 @@ def test_all_forms_agree_with_nested_loops(make_concerts, make_flights):
 def test_totals_equal_the_unfiltered_join(make_concerts, make_flights):
     concerts, flights = _some(seed=2, n=40)
     c, f = make_concerts(*concerts), make_flights(*flights)
-    joined = event_flights(c, f).groupBy("event_city").agg(F.count("*"), F.avg("price")).collect()
-    totals = event_flight_totals(c, f).collect()
+    joined = all_pairs(c, f).groupBy("event_city").agg(F.count("*"), F.avg("price")).collect()
+    totals = city_totals(c, f).collect()
     assert sorted((r.event_city, r.pairs, round(r.avg_price, 9)) for r in totals) == sorted(
         (city, float(n), round(mean, 9)) for city, n, mean in joined
     )
@@ -119,3 +124,30 @@ def test_shuffles_follow_a_partial_aggregation(make_concerts, make_flights, caps
     assert len(shuffles) == 3
     assert all("partial_" in plan[i + 1] for i in shuffles)
     assert not any("Nested" in line or "Cartesian" in line for line in plan)
+
+
+def test_a_hot_key_is_split_by_the_adaptive_join(spark, make_concerts, make_flights):
+    """With thresholds scaled down to the fixture, the hot (city, date) is spread over tasks."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200B",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "300B",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        # The hot rows are exact copies, which no hash could tell apart.
+        fares = [("P", "Rome", "2018-11-05", 7)] * 4000 + [("P", c, "2018-11-05", 1) for c in "ABCDEF"]
+        flights = make_flights(*fares).repartition(8)
+        concerts = make_concerts((1, "2018-11-06", "Rome"), *[(2, "2018-11-06", c) for c in "ABCDEF"])
+        joined = event_flights_window(concerts, flights)
+        assert len(joined.collect()) == 4006
+        assert "SortMergeJoin(skew=true)" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

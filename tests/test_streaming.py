@@ -51,6 +51,16 @@ def live_once(spark, folders, **options):
     live.start_averaging(spark, folders.work, folders.documents, once=True).awaitTermination()
 
 
+def test_bad_lines_are_kept_aside(spark, folders):
+    folders.add("concerts", 1, "header,line,x,y", f"1,A,{DATE},Dublin")
+    folders.add("fares", 2, "a,b", fare("Dublin", "2018-11-12", 10))
+    live.start_quarantine(
+        spark, folders.concerts, folders.fares, folders.work, once=True
+    ).awaitTermination()
+    rejects = spark.read.parquet(f"{folders.work}/rejects").collect()
+    assert sorted((r.feed, r.line) for r in rejects) == [("concerts", "header,line,x,y"), ("fares", "a,b")]
+
+
 def documents(spark, folders):
     found = spark.read.json(folders.documents)
     return sorted((r.batch, r.event_city, r.event_date, r.avg_price) for r in found.collect())
