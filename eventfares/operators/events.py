@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from eventfares.functions.convert import Field, columns, to_date
 from eventfares.functions.scalars import city_name
 
+# The columns of events and setlists, and the page fields they come from.
 _IDENTIFIER = (Field("data_uri", path="href"), Field("musicbrainz_id", path="mbid"))
 _ARTIST = (
     Field("id"),

@@ -29,11 +29,16 @@ def start_matching(
     interval: str = BATCH_INTERVAL,
     delay: str = ARRIVAL_DELAY,
     once: bool = False,
+    max_files: int | None = None,
 ) -> StreamingQuery:
-    """Stage one: feed directories to a table of matched totals under `work`."""
+    """Stage one: feed directories to a table of matched totals under `work`.
+
+    `max_files` bounds what a batch reads of each feed. The join waits for the slower one: rows
+    leave its state by the earlier of both feeds' times.
+    """
     matches = join_totals(
-        parse.accepted(feeds.read_concerts_stream(spark, concerts)),
-        parse.accepted(feeds.read_flights_stream(spark, fares)),
+        parse.accepted(feeds.read_concerts_stream(spark, concerts, max_files=max_files)),
+        parse.accepted(feeds.read_flights_stream(spark, fares, max_files=max_files)),
         interval=interval,
         delay=delay,
     )
@@ -84,6 +89,7 @@ def main() -> None:
     args.add_argument("documents")
     args.add_argument("--interval", default=BATCH_INTERVAL)
     args.add_argument("--delay", default=ARRIVAL_DELAY)
+    args.add_argument("--max-files", type=int, help="most files a batch reads of each feed")
     args.add_argument("--once", action="store_true", help="process what is there, then stop")
     given = args.parse_args()
 
@@ -91,7 +97,9 @@ def main() -> None:
     feeds_and_work = (given.concerts, given.fares, given.work)
     pace = {"interval": given.interval, "once": given.once}
     first = [
-        start_matching(spark, *feeds_and_work, delay=given.delay, **pace),
+        start_matching(
+            spark, *feeds_and_work, delay=given.delay, max_files=given.max_files, **pace
+        ),
         start_quarantine(spark, *feeds_and_work, **pace),
     ]
     if not given.once:

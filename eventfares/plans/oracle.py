@@ -173,6 +173,10 @@ FROM concerts WHERE event_city IN (
     "city_in": _with(CONCERTS)
     + """SELECT concert_id, artist, CAST(event_date AS VARCHAR) AS event_date, event_city
 FROM concerts WHERE event_city IN ('NATION_2', 'NATION_3', 'NATION_5', 'NATION_7')""",
+    "concert_csv": _with(CONCERTS)
+    + """SELECT CAST(concert_id AS INTEGER) AS concert_id, artist,
+       CAST(event_date AS VARCHAR) AS event_date, event_city
+FROM concerts""",
     "parse_quarantine": _with(CONCERTS)
     + f"""SELECT 'accepted' AS kind, event_city, count(*) AS n, CAST(sum(concert_id) AS BIGINT) AS id_sum,
        CAST(min(event_date) AS VARCHAR) AS first_date
@@ -227,6 +231,10 @@ WHERE c_mktsegment = 'BUILDING' AND r_name = 'EUROPE'
     "gigography": _with(PAGE_EVENTS)
     + """SELECT id, CAST(start_date AS VARCHAR) AS start_date FROM page_events
 WHERE n_nationkey = 3 AND start_date < DATE '1999-01-01'""",
+    "setlists_for": """SELECT conv_id AS event_id, turn AS id, role AS artist
+FROM conversations WHERE conv_id = 3""",
+    "first_setlist": """SELECT conv_id AS event_id, turn AS id, role AS artist
+FROM conversations WHERE conv_id = 3 ORDER BY turn LIMIT 1""",
     "first_setlists": """SELECT conv_id AS event_id, turn AS id, 'Set ' || turn AS display_name, role AS artist,
        CAST(0 AS BIGINT) AS n_identifiers,
        CAST(len(string_split(text, '. ')) AS BIGINT) AS n_songs, string_split(text, '. ')[1] AS opener

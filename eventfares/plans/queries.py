@@ -228,6 +228,19 @@ def city_in(spark, sf_dir):
     )
 
 
+def concert_csv(spark, sf_dir):
+    """Concerts as CSV with a header and quoted "City, Region" values, and read back."""
+    home = tables.table(spark, sf_dir, "nation").join(
+        tables.table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    full = tables.concerts(spark, sf_dir).join(home, F.col("event_city") == F.col("n_name"))
+    path = new_path(spark, "concert-csv")
+    city = F.concat_ws(", ", "n_name", "r_name").alias("city")
+    records = full.select("concert_id", "artist", F.col("event_date").alias("date"), city)
+    records.write.option("header", True).csv(path)
+    return _text_dates(parse.accepted(feeds.read_concerts(spark, path)))
+
+
 def parse_quarantine(spark, sf_dir):
     """Concert lines among lines of prose: what parses, per city, and how much does not."""
     lines = tables.concerts(spark, sf_dir).select(
@@ -402,6 +415,16 @@ def first_setlists(spark, sf_dir):
     )
 
 
+def setlists_for(spark, sf_dir):
+    found = events.setlists_for(_read_setlists(spark, sf_dir), 3)
+    return found.select("event_id", "id", F.col("artist.displayName").alias("artist"))
+
+
+def first_setlist(spark, sf_dir):
+    found = events.first_setlist(_read_setlists(spark, sf_dir), 3)
+    return found.select("event_id", "id", F.col("artist.displayName").alias("artist"))
+
+
 def setlist_songs(spark, sf_dir):
     songs = pages.setlist_items(_read_setlists(spark, sf_dir))
     return songs.select(
@@ -492,6 +515,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         latest_fare,
         city_list,
         city_in,
+        concert_csv,
         parse_quarantine,
         fare_feed,
         stream_feeds,
@@ -502,6 +526,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         active_events,
         by_mbid,
         gigography,
+        setlists_for,
+        first_setlist,
         first_setlists,
         setlist_songs,
         stream_event_fare_avg,

@@ -61,6 +61,14 @@ def test_bad_lines_are_kept_aside(spark, folders):
     assert sorted((r.feed, r.line) for r in rejects) == [("concerts", "header,line,x,y"), ("fares", "a,b")]
 
 
+def test_small_batches_lose_nothing(spark, folders):
+    folders.add("concerts", 1, f"1,A,{DATE},Dublin")
+    for second in range(2, 8):
+        folders.add("fares", second, fare("Dublin", "2018-11-12", second))
+    live_once(spark, folders, max_files=1)
+    assert documents(spark, folders)[-1][3] == 4.5
+
+
 def documents(spark, folders):
     found = spark.read.json(folders.documents)
     return sorted((r.batch, r.event_city, r.event_date, r.avg_price) for r in found.collect())
@@ -102,6 +110,24 @@ def test_late_partner_within_the_delay_still_meets(spark, folders):
     assert [d[3] for d in documents(spark, folders)] == [10.0]
 
 
+def test_both_stages_run_side_by_side(spark, folders):
+    matching = live.start_matching(
+        spark, folders.concerts, folders.fares, folders.work, interval="1 second"
+    )
+    averaging = live.start_averaging(spark, folders.work, folders.documents, interval="1 second")
+    try:
+        folders.add("concerts", 0.1, f"1,A,{DATE},Dublin")
+        folders.add("fares", 0.2, fare("Dublin", "2018-11-12", 10))
+        matching.processAllAvailable()
+        averaging.processAllAvailable()
+    finally:
+        matching.stop()
+        averaging.stop()
+    assert [d[1:] for d in documents(spark, folders)] == [
+        ("Dublin", "2018-11-16T00:00:00.000Z", 10.0)
+    ]
+
+
 def _streams(spark, folders):
     return (
         parse.accepted(feeds.read_concerts_stream(spark, folders.concerts)),
