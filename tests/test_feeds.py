@@ -119,6 +119,14 @@ def test_old_files_are_pruned_from_the_scan(spark, tmp_path):
     assert kept.rdd.getNumPartitions() == 1
 
 
+def test_commas_and_quotes_survive_a_round_trip(spark, tmp_path, make_concerts):
+    name = 'Earth, "Wind" & Fire\\'
+    concerts = make_concerts((1, "2018-11-01", "Rome,")).withColumn("artist", F.lit(name))
+    sinks.write_feed(sinks.concert_snapshot(concerts), str(tmp_path / "feed"), NOON)
+    read = parse.accepted(parse.concerts(feeds.feed_lines(spark, str(tmp_path / "feed"))))
+    assert [tuple(r)[:4] for r in read.collect()] == [(1, name, day("2018-11-01"), "Rome,")]
+
+
 def test_empty_text_survives_a_round_trip(spark, tmp_path, make_concerts):
     concerts = make_concerts((1, "2018-11-01", "Dublin")).withColumn("artist", F.lit(""))
     sinks.write_feed(sinks.concert_snapshot(concerts), str(tmp_path / "feed"), NOON)
