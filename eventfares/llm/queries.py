@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from eventfares.llm import exact
+from eventfares.llm import exact, sharding, warc
 
 QUERIES = {
+    "op1_warc": warc.op1,
     "op3_exact_dedup": exact.op3,
+    "op6_sharding": sharding.op6,
 }
 
 ORACLE = {
+    "op1_warc": warc.OP1_SQL,
     "op3_exact_dedup": exact.OP3_SQL,
 }
