@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from eventfares.llm import exact, sharding, warc
+from eventfares.llm import exact, langid, lines, sharding, warc
 
 QUERIES = {
     "op1_warc": warc.op1,
     "op3_exact_dedup": exact.op3,
     "op6_sharding": sharding.op6,
+    "op9_line_dedup": lines.op9,
+    "op10_language_id": langid.op10,
 }
 
 ORACLE = {
     "op1_warc": warc.OP1_SQL,
     "op3_exact_dedup": exact.OP3_SQL,
+    "op9_line_dedup": lines.OP9_SQL,
 }
