@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from eventfares.llm import exact, langid, lines, sharding, warc
+from eventfares.llm import bpe, exact, langid, lines, sharding, warc
 
 QUERIES = {
     "op1_warc": warc.op1,
+    "op2_byte_bpe": bpe.op2,
     "op3_exact_dedup": exact.op3,
     "op6_sharding": sharding.op6,
     "op9_line_dedup": lines.op9,
