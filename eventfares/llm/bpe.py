@@ -61,6 +61,7 @@ class Encoder:
         self.pieces = [b""] * (max(ranks.values(), default=-1) + 1)
         for piece, rank in ranks.items():
             self.pieces[rank] = piece
+        self.lengths = np.array([len(p) for p in self.pieces], np.int64)
         self.held: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:

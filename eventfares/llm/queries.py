@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from eventfares.llm import bpe, exact, langid, lines, sharding, warc
+from eventfares.llm import bpe, embed, exact, langid, lines, sharding, tokens, warc
 
 QUERIES = {
     "op1_warc": warc.op1,
     "op2_byte_bpe": bpe.op2,
     "op3_exact_dedup": exact.op3,
+    "op5_embedding_dedup": embed.op5,
     "op6_sharding": sharding.op6,
+    "op8_token_counts": tokens.op8,
     "op9_line_dedup": lines.op9,
     "op10_language_id": langid.op10,
 }
@@ -16,5 +18,6 @@ QUERIES = {
 ORACLE = {
     "op1_warc": warc.OP1_SQL,
     "op3_exact_dedup": exact.OP3_SQL,
+    "op5_embedding_dedup": embed.OP5_SQL,
     "op9_line_dedup": lines.OP9_SQL,
 }
