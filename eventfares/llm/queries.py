@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventfares.llm import bpe, embed, exact, langid, lines, sharding, tokens, warc
+from eventfares.llm import bpe, embed, exact, jaccard, langid, lines, sharding, tokens, warc
 
 QUERIES = {
     "op1_warc": warc.op1,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_exact_dedup": exact.op3,
     "op5_embedding_dedup": embed.op5,
     "op6_sharding": sharding.op6,
+    "op7_jaccard_join": jaccard.op7,
     "op8_token_counts": tokens.op8,
     "op9_line_dedup": lines.op9,
     "op10_language_id": langid.op10,
@@ -19,5 +20,6 @@ ORACLE = {
     "op1_warc": warc.OP1_SQL,
     "op3_exact_dedup": exact.OP3_SQL,
     "op5_embedding_dedup": embed.OP5_SQL,
+    "op7_jaccard_join": jaccard.OP7_SQL,
     "op9_line_dedup": lines.OP9_SQL,
 }
