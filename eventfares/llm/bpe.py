@@ -162,30 +162,34 @@ def encode(docs: DataFrame, ranks: Ranks, pattern: str, doc_id: str = "doc_id",
 
     def rows(encoder: Encoder, doc_ids, texts):
         ids = [encoder.encode(t) for t in texts]
-        as_lists = pa.ListArray.from_arrays(
-            np.cumsum([0, *(len(i) // 4 for i in ids)], dtype=np.int32),
-            pa.array(np.frombuffer(b"".join(ids), "<i4")),
-        )
-        return batch_of(_ENCODED, doc_ids, as_lists, [encoder.decode(i) for i in ids])
+        return batch_of(_ENCODED, doc_ids, _id_lists(ids), [encoder.decode(i) for i in ids])
 
     return _over(docs, ranks, pattern, doc_id, text, rows, _ENCODED)
 
 
-def digests(docs: DataFrame, ranks: Ranks, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def digests(
+    docs: DataFrame, ranks: Ranks, pattern: str, doc_id: str = "doc_id", text: str = "text", ids: bool = False
+) -> DataFrame:
     """`doc_id, n_tokens, ids_sha256, decoded_sha256` of every text, encoded and decoded as by
-    `encode`; ids are hashed as 32-bit numbers, lowest byte first."""
+    `encode`; ids are hashed as 32-bit numbers, lowest byte first. With `ids`, they come too."""
 
     def rows(encoder: Encoder, doc_ids, texts):
-        ids = [encoder.encode(t) for t in texts]
-        return batch_of(
-            _DIGESTS,
+        found = [encoder.encode(t) for t in texts]
+        columns = [
             doc_ids,
-            [len(i) // 4 for i in ids],
-            [hashlib.sha256(i).hexdigest() for i in ids],
-            [hashlib.sha256(encoder.decode(i)).hexdigest() for i in ids],
-        )
+            [len(i) // 4 for i in found],
+            [hashlib.sha256(i).hexdigest() for i in found],
+            [hashlib.sha256(encoder.decode(i)).hexdigest() for i in found],
+        ]
+        return batch_of(schema, *columns, *([_id_lists(found)] if ids else []))
+
+    schema = _DIGESTS.append(pa.field("ids", pa.list_(pa.int32()))) if ids else _DIGESTS
+    return _over(docs, ranks, pattern, doc_id, text, rows, schema)
+
 
-    return _over(docs, ranks, pattern, doc_id, text, rows, _DIGESTS)
+def _id_lists(found: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(i) // 4 for i in found)], dtype=np.int32)
+    return pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(found), "<i4")))
 
 
 def _over(docs, ranks, pattern, doc_id, text, rows, schema):

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from eventfares.llm import bpe, embed, exact, jaccard, langid, lines, sharding, tokens, warc
+from eventfares.llm import bpe, embed, exact, jaccard, langid, lines, mixing, sharding, tokens, warc
 
 QUERIES = {
     "op1_warc": warc.op1,
     "op2_byte_bpe": bpe.op2,
     "op3_exact_dedup": exact.op3,
+    "op4_mixing": mixing.op4,
     "op5_embedding_dedup": embed.op5,
     "op6_sharding": sharding.op6,
     "op7_jaccard_join": jaccard.op7,
