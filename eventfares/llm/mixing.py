@@ -15,7 +15,7 @@ BINS = 1 << 12
 DOCS_PER_DOMAIN = 2000
 SMOOTHING = 1.0
 EVIDENCE_WORDS = 30.0
-ROUNDS = 60
+ROUNDS = 25
 CLOSE = 1e-6
 
 
@@ -97,33 +97,37 @@ def fit_rates(members: DataFrame, target: np.ndarray, rounds: int = ROUNDS) -> t
     """The rate of each row of `members(n_tokens, membership)` as a column, and what it comes to.
 
     Rates r >= 0 start at 1 and minimise the distance of the expected tokens of each domain,
-    `sum(r * n_tokens * membership)`, from `target` times all tokens, by projected gradient steps. The
-    distance is measured in the inverse of the second moments of the rows, in which a full step is
-    safe and unbounded rates would fit at once. A rate is a function of its row and of one vector
-    per step, so a step is one sum over all rows, and all that reaches the driver are sums.
+    `sum(r * n_tokens * membership)`, from `target` times all tokens, by projected gradient steps.
+    Gradients are taken in the inverse of the second moments of the rows whose rates are above 0,
+    in which a full step would fit at once if it took no rate to 0. A rate is a function of its row
+    and of one vector per step, so a step is one pass that leaves a few sums, and those are all that
+    reaches the driver. The rates of the closest step are the result.
     """
     d = len(target)
     part = [F.col("n_tokens") * F.get("membership", F.lit(k)) for k in range(d)]
     pairs = [(i, j) for i in range(d) for j in range(i, d)]
-    sums = members.agg(
-        F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n"),
-        *[F.coalesce(F.sum(part[i] * part[j]), F.lit(0.0)).alias(f"s{i}_{j}") for i, j in pairs],
-    ).first()
-    total = float(sums["n"])
-    if not total:
-        return F.lit(1.0), {"steps": 0, "distance": 0.0}
-    moments = np.zeros((d, d))
-    for i, j in pairs:
-        moments[i, j] = moments[j, i] = sums[f"s{i}_{j}"]
-    inverse = np.linalg.pinv(moments, rcond=1e-9, hermitian=True)
-    goal, steps, rate = np.asarray(target) / np.sum(target) * total, 0, F.lit(1.0)
+    steps, rate, best = 0, F.lit(1.0), None
     while True:
-        held = members.agg(*[F.sum(rate * part[k]).alias(f"t{k}") for k in range(d)]).first()
-        missing = np.array([held[f"t{k}"] for k in range(d)]) - goal
+        moves = F.when(rate > 0, 1.0).otherwise(0.0)
+        sums = members.agg(
+            F.sum(F.lit(1.0) * F.col("n_tokens")).alias("n"),
+            *[F.sum(rate * part[k]).alias(f"t{k}") for k in range(d)],
+            *[F.sum(moves * part[i] * part[j]).alias(f"s{i}_{j}") for i, j in pairs],
+        ).first()
+        total = sums["n"]
+        if not total:
+            return F.lit(1.0), {"steps": 0, "distance": 0.0}
+        goal = np.asarray(target) / np.sum(target) * total
+        missing = np.array([sums[f"t{k}"] for k in range(d)]) - goal
         distance = float(np.linalg.norm(missing) / np.linalg.norm(goal))
+        if best is None or distance < best[1]["distance"]:
+            best = rate, {"steps": steps, "distance": distance}
         if distance < CLOSE or steps == rounds:
-            return rate, {"steps": steps, "distance": distance}
-        step = inverse @ missing
+            return best
+        moments = np.zeros((d, d))
+        for i, j in pairs:
+            moments[i, j] = moments[j, i] = sums[f"s{i}_{j}"]
+        step = np.linalg.pinv(moments, rcond=1e-9, hermitian=True) @ missing
         change = part[0] * float(step[0])
         for k in range(1, d):
             change = change + part[k] * float(step[k])
