@@ -21,14 +21,20 @@ def zero_below(value: Column, threshold: float = PRESENCE_THRESHOLD) -> Column:
     return F.when(value < threshold, F.lit(0)).otherwise(value)
 
 
+def day_range(first: Column, days: Column) -> Column:
+    """The `days` dates from `first` on, as an array; empty if there are none."""
+    none = F.array().cast("array<date>")
+    return F.when(days < 1, none).otherwise(F.sequence(first, F.date_add(first, days - 1)))
+
+
 def days_before(event_date: Column, days: int = DAYS_BEFORE) -> Column:
     """The dates from `days` before the event up to the day before it, as an array."""
-    return F.sequence(F.date_sub(event_date, days), F.date_sub(event_date, 1))
+    return day_range(F.date_sub(event_date, days), F.lit(days))
 
 
 def days_after(flight_date: Column, days: int = DAYS_BEFORE) -> Column:
     """The event dates a flight on `flight_date` serves: the mirror image of `days_before`."""
-    return F.sequence(F.date_add(flight_date, 1), F.date_add(flight_date, days))
+    return day_range(F.date_add(flight_date, 1), F.lit(days))
 
 
 def in_window(flight_date: Column, event_date: Column, days: int = DAYS_BEFORE) -> Column:

@@ -125,8 +125,16 @@ def by_mbid(events: DataFrame, mbid: str) -> DataFrame:
 
 def gigography(events: DataFrame, artist_id: int, as_of: date | str) -> DataFrame:
     """Past events of a performer: those that started before `as_of`."""
-    past = to_date(F.col("start.date")) < F.lit(as_of).cast("date")
-    return events.where(past & _any_performer(lambda p: p["id"] == artist_id))
+    return events.where(_past(as_of) & _any_performer(lambda p: p["id"] == artist_id))
+
+
+def gigography_by_mbid(events: DataFrame, mbid: str, as_of: date | str) -> DataFrame:
+    """`gigography` of the performer with this MusicBrainz id."""
+    return by_mbid(events.where(_past(as_of)), mbid)
+
+
+def _past(as_of: date | str) -> Column:
+    return to_date(F.col("start.date")) < F.lit(as_of).cast("date")
 
 
 def active(events: DataFrame) -> DataFrame:
@@ -140,16 +148,16 @@ def setlists_for(setlists: DataFrame, event_id: int) -> DataFrame:
 
 
 def first_setlist(setlists: DataFrame, event_id: int) -> DataFrame:
-    """The event's setlist with the lowest id, or no row."""
-    return setlists_for(setlists, event_id).orderBy("id").limit(1)
+    """The event's setlist with the lowest id, or no row. One without an id comes last."""
+    return setlists_for(setlists, event_id).orderBy(F.col("id").asc_nulls_last()).limit(1)
 
 
 def first_setlists(setlists: DataFrame) -> DataFrame:
-    """`first_setlist` of every event at once."""
+    """`first_setlist` of every event at once. Of setlists with one id, any."""
     record = F.struct(*[c for c in setlists.columns if c != "event_id"])
     return (
         setlists.groupBy("event_id")
-        .agg(F.min_by(record, "id").alias("_first"))
+        .agg(F.min_by(record, F.struct(F.col("id").isNull(), "id")).alias("_first"))
         .select("event_id", "_first.*")
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventfares.functions.scalars import day_range
 from eventfares.settings import CAP_FACTOR, keep
 
 ROUTE = ["start_city", "end_city"]
@@ -27,15 +28,17 @@ def served_routes(flights: DataFrame, served: DataFrame) -> DataFrame:
 
 
 def decode_ids(df: DataFrame, names: DataFrame, id_column: str, name_column: str) -> DataFrame:
-    """Replace `id_column` by the name that `names(id, name)` gives it."""
+    """Replace `id_column` by the name that `names(id, name)` gives it, or null if it gives none."""
     lookup = names.select(F.col("id").alias(id_column), F.col("name").alias(name_column))
-    return df.join(lookup, id_column).drop(id_column)
+    return df.join(lookup, id_column, "left").drop(id_column)
 
 
 def date_spine(df: DataFrame, start: Column, days: Column, name: str = "flight_date") -> DataFrame:
-    """One row per day of each row's horizon: its `day_index` from 0, and the calendar date."""
-    last = F.date_add(start, days.cast("int") - 1)
-    return df.select("*", F.posexplode(F.sequence(start, last)).alias("day_index", name))
+    """One row per day of each row's horizon: its `day_index` from 0, and the calendar date.
+
+    A horizon of no days has no rows.
+    """
+    return df.select("*", F.posexplode(day_range(start, days.cast("int"))).alias("day_index", name))
 
 
 def unpivot(
@@ -58,23 +61,27 @@ def route_range(flights: DataFrame, price: str = "price") -> DataFrame:
 
 
 def with_base(flights: DataFrame, bases: DataFrame) -> DataFrame:
-    """Attach each route's base price from `bases(start_city, end_city, base)`."""
-    return flights.join(bases, ROUTE)
+    """Attach each route's base price from `bases(start_city, end_city, base)`, null without one."""
+    return flights.join(bases, ROUTE, "left")
 
 
-def rescale(flights: DataFrame, bases: DataFrame, price: str = "price") -> DataFrame:
+def rescale(
+    flights: DataFrame, bases: DataFrame, price: str = "price", ranges: DataFrame | None = None
+) -> DataFrame:
     """Map each route's existing fares linearly onto [base, 2 * base]; zeros stay.
 
-    A route with a single fare level has no range to map, and gets null. Ranges come from an
-    aggregation, not a window, so no task holds a whole route. They are written first: the planner
+    A route with a single fare level has no range to map, and one without a base none to map onto:
+    both get null. Ranges come from an aggregation, not a window, so no task holds a whole route;
+    pass `ranges` if `route_range` of the fares is at hand. They are written first: the planner
     then knows their true size, and broadcasts them or not by it, before it plans the scan of fares.
     """
-    scale = keep(with_base(route_range(flights, price), bases), "route-scale")
+    ranges = ranges if ranges is not None else route_range(flights, price)
+    scale = keep(with_base(ranges, bases), "route-scale")
     low, high, base = (F.col(c).cast("double") for c in ("min_price", "max_price", "base"))
     value = F.col(price)
     span = F.when(high > low, high - low)
     mapped = (base * F.lit(CAP_FACTOR) - base) * (value - low) / span + base
-    return flights.join(scale, ROUTE).select(
+    return flights.join(scale, ROUTE, "left").select(
         *flights.columns,
         F.when(value > 0, mapped).otherwise(value.cast("double")).alias("scaled_price"),
     )
@@ -86,7 +93,10 @@ def over_cap(flights: DataFrame, bases: DataFrame, price: str = "price") -> Data
 
 
 def cap(flights: DataFrame, bases: DataFrame, price: str = "price") -> DataFrame:
-    """Fares with those above twice their route's base lowered to it, as `capped_price`."""
+    """Fares with those above twice their route's base lowered to it, as `capped_price`.
+
+    Fares of a route without a base stay as they are.
+    """
     limit = F.col("base") * CAP_FACTOR
     return with_base(flights, bases).withColumn("capped_price", F.least(F.col(price), limit))
 
@@ -114,7 +124,6 @@ def _side(snapshot: DataFrame, name: str, price: str) -> DataFrame:
 def latest(
     flights: DataFrame, arrival: str, price: str = "price", keys: list[str] | None = None
 ) -> DataFrame:
-    """The most recently arrived fare of each cell. `arrival` should not tie within a cell."""
-    return flights.groupBy(*(keys or CELL)).agg(
-        F.max_by(price, arrival).alias(price), F.max(arrival).alias(arrival)
-    )
+    """The most recently arrived fare of each cell; of fares that arrived together, the highest."""
+    last = flights.groupBy(*(keys or CELL)).agg(F.max(F.struct(arrival, price)).alias("_last"))
+    return last.select(*(keys or CELL), f"_last.{price}", f"_last.{arrival}")

@@ -54,6 +54,9 @@ ranges AS (
   FROM flights GROUP BY ALL
 )"""
 
+BASES = """
+bases AS (SELECT * FROM ranges WHERE start_city <> 'NATION_3')"""
+
 SNAPSHOTS = """
 old AS (
   SELECT start_city, end_city, flight_date, max(cents) AS cents
@@ -137,25 +140,25 @@ FROM (SELECT event_city, min(event_date) AS first_date FROM concerts GROUP BY 1)
     "unpivot_fares": _with(ARRIVALS)
     + """SELECT end_city, CAST(sum(cents) AS BIGINT) AS cents, CAST(flight_date AS VARCHAR) AS flight_date
 FROM arrivals GROUP BY end_city, arrivals.flight_date""",
-    "decode_ids": """SELECT count(*) AS n, n_name AS city, r_name AS region
+    "decode_ids": """SELECT count(*) AS n, CASE WHEN n_nationkey < 20 THEN n_name END AS city, r_name AS region
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-GROUP BY ALL""",
+GROUP BY n_nationkey, n_name, r_name""",
     "route_range": _with(FLIGHTS, RANGES)
     + "SELECT start_city, end_city, low AS min_price, high AS max_price FROM ranges",
-    "rescale_fares": _with(FLIGHTS, RANGES)
+    "rescale_fares": _with(FLIGHTS, RANGES, BASES)
     + """SELECT start_city, end_city, CAST(flight_date AS VARCHAR) AS flight_date, cents, l_orderkey,
        l_linenumber,
        CAST(2 * low - low AS DOUBLE) * CAST(cents - low AS DOUBLE)
          / nullif(CAST(high - low AS DOUBLE), 0) + low AS scaled_price
-FROM flights JOIN ranges USING (start_city, end_city)""",
-    "over_cap": _with(FLIGHTS, RANGES)
+FROM flights LEFT JOIN bases USING (start_city, end_city)""",
+    "over_cap": _with(FLIGHTS, RANGES, BASES)
     + """SELECT start_city, end_city, CAST(flight_date AS VARCHAR) AS flight_date, cents, l_orderkey,
        l_linenumber, low AS base
-FROM flights JOIN ranges USING (start_city, end_city) WHERE cents > 2 * low""",
-    "cap_fares": _with(FLIGHTS, RANGES)
+FROM flights JOIN bases USING (start_city, end_city) WHERE cents > 2 * low""",
+    "cap_fares": _with(FLIGHTS, RANGES, BASES)
     + """SELECT start_city, end_city, CAST(flight_date AS VARCHAR) AS flight_date, cents, l_orderkey,
        l_linenumber, low AS base, least(cents, 2 * low) AS capped_price
-FROM flights JOIN ranges USING (start_city, end_city)""",
+FROM flights LEFT JOIN bases USING (start_city, end_city)""",
     "fare_diff": _with(FLIGHTS, SNAPSHOTS)
     + """SELECT start_city, end_city, CAST(flight_date AS VARCHAR) AS flight_date, old_price, new_price
 FROM changed""",
@@ -174,7 +177,7 @@ FROM concerts WHERE event_city IN (
     + """SELECT concert_id, artist, CAST(event_date AS VARCHAR) AS event_date, event_city
 FROM concerts WHERE event_city IN ('NATION_2', 'NATION_3', 'NATION_5', 'NATION_7')""",
     "concert_csv": _with(CONCERTS)
-    + """SELECT CAST(concert_id AS INTEGER) AS concert_id, artist,
+    + """SELECT CAST(concert_id AS BIGINT) * 10000000000 AS concert_id, artist,
        CAST(event_date AS VARCHAR) AS event_date, event_city
 FROM concerts""",
     "parse_quarantine": _with(CONCERTS)
@@ -219,7 +222,7 @@ UNION ALL SELECT 'no event list', count(*) FROM documents""",
 FROM page_events
 WHERE c_mktsegment = 'BUILDING' AND start_date BETWEEN DATE '1997-03-01' AND DATE '1999-02-28'""",
     "concert_feed": _with(PAGE_EVENTS)
-    + """SELECT CAST(row_number() OVER (ORDER BY c_custkey, start_date, id) - 1 AS INTEGER) AS concert_id,
+    + """SELECT row_number() OVER (ORDER BY c_custkey, start_date, id) - 1 AS concert_id,
        c_name AS artist, CAST(start_date AS VARCHAR) AS event_date, n_name AS event_city
 FROM page_events
 WHERE c_mktsegment = 'BUILDING' AND r_name = 'EUROPE'
@@ -231,6 +234,9 @@ WHERE c_mktsegment = 'BUILDING' AND r_name = 'EUROPE'
     "gigography": _with(PAGE_EVENTS)
     + """SELECT id, CAST(start_date AS VARCHAR) AS start_date FROM page_events
 WHERE n_nationkey = 3 AND start_date < DATE '1999-01-01'""",
+    "gigography_by_mbid": _with(PAGE_EVENTS)
+    + """SELECT id, CAST(start_date AS VARCHAR) AS start_date FROM page_events
+WHERE n_name = 'NATION_3' AND start_date < DATE '1999-01-01'""",
     "setlists_for": """SELECT conv_id AS event_id, turn AS id, role AS artist
 FROM conversations WHERE conv_id = 3""",
     "first_setlist": """SELECT conv_id AS event_id, turn AS id, role AS artist

@@ -39,10 +39,14 @@ def _cents_flights(spark, sf_dir, *also):
     return tables.flights(spark, sf_dir, *also).drop("price")
 
 
-def _route_bases(flights: DataFrame) -> DataFrame:
-    """A stand-in for the table of base prices, which is input: each route's lowest fare."""
-    lowest = fares.route_range(flights, "cents")
-    return keep(lowest.select(*fares.ROUTE, F.col("min_price").alias("base")), "bases")
+def _ranges_and_bases(flights: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Fare ranges of routes, and a stand-in for the table of base prices, which is input.
+
+    A base is the lowest fare; routes from NATION_3 have none.
+    """
+    ranges = keep(fares.route_range(flights, "cents"), "ranges")
+    known = ranges.where("start_city <> 'NATION_3'")
+    return ranges, known.select(*fares.ROUTE, F.col("min_price").alias("base"))
 
 
 # Averages and joins
@@ -117,7 +121,7 @@ def date_spine(spark, sf_dir):
 
 
 def unpivot_fares(spark, sf_dir):
-    """Daily totals per city, packed into one array over the city's dates, and taken apart again."""
+    """Daily totals of fares per city, packed into one array over the city's dates, and taken apart again."""
     daily = (
         tables.arrivals(spark, sf_dir)
         .groupBy("end_city", "flight_date")
@@ -144,7 +148,7 @@ def unpivot_fares(spark, sf_dir):
 
 
 def decode_ids(spark, sf_dir):
-    """Daily totals by nation and region id, with both ids then replaced by names."""
+    """Customers by nation and region id, with both ids then replaced by names, some unknown."""
     nation = tables.table(spark, sf_dir, "nation")
     sales = (
         tables.table(spark, sf_dir, "customer")
@@ -152,7 +156,8 @@ def decode_ids(spark, sf_dir):
         .groupBy(F.col("n_nationkey").alias("city_id"), F.col("n_regionkey").alias("region_id"))
         .agg(F.count("*").alias("n"))
     )
-    cities = nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    known = nation.where("n_nationkey < 20")
+    cities = known.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
     regions = tables.table(spark, sf_dir, "region").select(
         F.col("r_regionkey").alias("id"), F.col("r_name").alias("name")
     )
@@ -166,17 +171,18 @@ def route_range(spark, sf_dir):
 
 def rescale_fares(spark, sf_dir):
     flights = _cents_flights(spark, sf_dir, "l_orderkey", "l_linenumber")
-    return _text_dates(fares.rescale(flights, _route_bases(flights), "cents"))
+    ranges, bases = _ranges_and_bases(flights)
+    return _text_dates(fares.rescale(flights, bases, "cents", ranges))
 
 
 def over_cap(spark, sf_dir):
     flights = _cents_flights(spark, sf_dir, "l_orderkey", "l_linenumber")
-    return _text_dates(fares.over_cap(flights, _route_bases(flights), "cents"))
+    return _text_dates(fares.over_cap(flights, _ranges_and_bases(flights)[1], "cents"))
 
 
 def cap_fares(spark, sf_dir):
     flights = _cents_flights(spark, sf_dir, "l_orderkey", "l_linenumber")
-    return _text_dates(fares.cap(flights, _route_bases(flights), "cents"))
+    return _text_dates(fares.cap(flights, _ranges_and_bases(flights)[1], "cents"))
 
 
 def _snapshots(spark, sf_dir):
@@ -229,14 +235,15 @@ def city_in(spark, sf_dir):
 
 
 def concert_csv(spark, sf_dir):
-    """Concerts as CSV with a header and quoted "City, Region" values, and read back."""
+    """Concerts with long ids as CSV with a header and quoted "City, Region" values, and read back."""
     home = tables.table(spark, sf_dir, "nation").join(
         tables.table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     full = tables.concerts(spark, sf_dir).join(home, F.col("event_city") == F.col("n_name"))
     path = new_path(spark, "concert-csv")
     city = F.concat_ws(", ", "n_name", "r_name").alias("city")
-    records = full.select("concert_id", "artist", F.col("event_date").alias("date"), city)
+    wide = (F.col("concert_id") * 10_000_000_000).alias("concert_id")
+    records = full.select(wide, "artist", F.col("event_date").alias("date"), city)
     records.write.option("header", True).csv(path)
     return _text_dates(parse.accepted(feeds.read_concerts(spark, path)))
 
@@ -397,6 +404,12 @@ def gigography(spark, sf_dir):
     return found.select("id", F.col("start.date").alias("start_date"))
 
 
+def gigography_by_mbid(spark, sf_dir):
+    band = hashlib.md5(b"NATION_3").hexdigest()
+    found = events.gigography_by_mbid(_read_events(spark, sf_dir), band, AS_OF)
+    return found.select("id", F.col("start.date").alias("start_date"))
+
+
 def _read_setlists(spark, sf_dir):
     return pages.setlist_pages(tables.setlist_bodies(spark, sf_dir))[0]
 
@@ -526,6 +539,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         active_events,
         by_mbid,
         gigography,
+        gigography_by_mbid,
         setlists_for,
         first_setlist,
         first_setlists,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 # Feed records in file order, and the fields of the listing pages.
-CONCERTS = "concert_id int, artist string, event_date date, event_city string"
+CONCERTS = "concert_id bigint, artist string, event_date date, event_city string"
 FLIGHTS = "start_city string, end_city string, flight_date date, price double"
 CORRUPT = "_corrupt_record"
 

@@ -33,7 +33,7 @@ def day(text):
     return dt.date.fromisoformat(text)
 
 
-CONCERTS = "concert_id int, artist string, event_date date, event_city string"
+CONCERTS = "concert_id bigint, artist string, event_date date, event_city string"
 FLIGHTS = "start_city string, end_city string, flight_date date, price double"
 
 

@@ -21,6 +21,11 @@ def test_concert_line(spark):
     assert tuple(row) == (7, "Artist A", day("2018-11-16"), "Dublin")
 
 
+def test_concert_ids_are_long(spark):
+    row = parse.accepted(parse.concerts(lines(spark, "99999999999,A,2018-11-01,Dublin"))).first()
+    assert row.concert_id == 99_999_999_999
+
+
 def test_flight_lines_with_whole_and_decimal_prices(spark):
     rows = parse.accepted(
         parse.flights(lines(spark, "Paris,Dublin,2018-11-12,1500", "Paris,Dublin,2018-11-13,1234.0"))
@@ -42,7 +47,7 @@ def test_flight_lines_with_whole_and_decimal_prices(spark):
         ",A,2018-11-01,Dublin",
         "1,A,,Dublin",
         "1,A,2018-11-01,",
-        "99999999999,A,2018-11-01,Dublin",
+        "99999999999999999999,A,2018-11-01,Dublin",
     ],
 )
 def test_bad_concert_lines_are_set_aside(spark, line):
