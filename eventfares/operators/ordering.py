@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventfares.settings import GROUP_ROWS, keep
+from eventfares.settings import keep, new_path, remove
 
 _POSITION_BITS = 33  # monotonically_increasing_id() holds the partition above, the row below
 _SCANNED = "_scanned"
@@ -20,15 +20,14 @@ def number_rows(
     The number is that place plus the row count of all earlier partitions. Rows that tie are
     numbered in the order they were scanned, and may be split over partitions like any others.
     """
-    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     full_order = [*order, _SCANNED]
-    placed = keep(
-        _scanned(df, "to-number")
-        .repartitionByRange(parts, *full_order)
-        .sortWithinPartitions(*full_order)
+    placed = _ranged(
+        df,
+        full_order,
+        parts,
+        lambda ranged: ranged.sortWithinPartitions(*full_order)
         .drop(_SCANNED)
         .withColumn("_place", F.monotonically_increasing_id()),
-        "numbered",
     ).withColumn("_part", F.shiftright("_place", _POSITION_BITS))
 
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -46,69 +45,27 @@ def number_rows(
     )
 
 
-def _scanned(df: DataFrame, label: str) -> DataFrame:
-    """The rows with their place in a table written for it, which breaks ties between copies.
-
-    A scan gives the same places whenever it is repeated, as when a lost task runs again; rows that
-    come out of a shuffle would not. Reading a table also spares working out `df` a second time to
-    sample it for range bounds.
-    """
-    return keep(df, label).withColumn(_SCANNED, F.monotonically_increasing_id())
-
-
 def running_avg(
     df: DataFrame,
     keys: list[str],
     order: list[str],
     value: str,
     unit: float = 1.0,
-    group_rows: int = GROUP_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Add `n` and `avg_price`: count and mean of `value` over the key's rows up to this one.
 
-    A window per key does it, unless some key has more than `group_rows` rows. The rows of such keys
-    are spread over range partitions of (key, order); each partition runs its own window, and the
-    sums of the key's earlier partitions are added. Rows of a key that tie come in no set order.
+    Rows are range-partitioned by (key, order), so that no task holds a whole key, however hot. Each
+    partition runs its own window per key, and the sums of the key's earlier partitions are added.
+    Rows of a key that tie come in the order they were scanned.
     """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    # At most total / group_rows keys. Written, so that its true size decides how it is joined.
-    hot = keep(sizes.where(F.col("_rows") > group_rows), "hot-keys")
-    hot_rows = hot.agg(F.sum("_rows")).first()[0]
-    if hot_rows is None:
-        return _averaged(_window_sums(df, keys, order, value), value, unit)
-
-    match = [df[k].eqNullSafe(hot[k]) for k in keys]
-    usual = _window_sums(df.join(hot, match, "left_anti"), keys, order, value)
-    split = _split_sums(
-        df.join(hot, match, "left_semi"), keys, order, value, parts=-(-hot_rows // group_rows)
-    )
-    return _averaged(usual.unionByName(split), value, unit)
-
-
-def _window_sums(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
-    so_far = (
-        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return df.withColumn("_total", F.sum(value).over(so_far)).withColumn(
-        "n", F.count(value).over(so_far)
-    )
-
-
-def _split_sums(
-    df: DataFrame, keys: list[str], order: list[str], value: str, parts: int
-) -> DataFrame:
     full_order = [*order, _SCANNED]
-    placed = keep(
-        _scanned(df, "hot-rows")
-        .repartitionByRange(parts, *keys, *full_order)
-        .withColumn("_part", F.spark_partition_id()),
-        "hot-parts",
-    )
-    earlier = (
-        Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = _ranged(
+        df, [*keys, *full_order], parts, lambda ranged: ranged.withColumn("_part", F.spark_partition_id())
     )
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # A key has at most one row per partition here, and only keys that cross a boundary have several.
-    before = keep(
+    before = (
         placed.groupBy(*keys, "_part")
         .agg(F.sum(value).alias("_sum"), F.count(value).alias("_count"))
         .select(
@@ -116,19 +73,37 @@ def _split_sums(
             F.sum("_sum").over(earlier).alias("_total_before"),
             F.sum("_count").over(earlier).alias("_n_before"),
         )
-        .where("_n_before is not null"),
-        "hot-offsets",
+        .where("_n_before is not null")
     )
-    local = _window_sums(placed, [*keys, "_part"], full_order, value)
+    so_far = (
+        Window.partitionBy("_part", *keys)
+        .orderBy(*full_order)
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    local = placed.withColumn("_total", F.sum(value).over(so_far)).withColumn("n", F.count(value).over(so_far))
     match = [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in [*keys, "_part"]]
-    total = F.coalesce(F.col("_total_before") + F.col("_total"), "_total", "_total_before")
-    return local.join(before, match, "left").select(
-        *df.columns,
-        total.alias("_total"),
-        (F.col("n") + F.coalesce("_n_before", F.lit(0))).alias("n"),
+    total = F.coalesce(F.col("_total_before") + F.col("_total"), "_total", "_total_before").cast("double")
+    # Kept, as few keys cross a boundary: their true size decides how they are joined.
+    joined = local.join(keep(before, "offsets"), match, "left")
+    n = F.col("n") + F.coalesce("_n_before", F.lit(0))
+    return joined.select(
+        *df.columns, n.alias("n"), (F.try_divide(total, n) / F.lit(unit)).alias("avg_price")
     )
 
 
-def _averaged(df: DataFrame, value: str, unit: float) -> DataFrame:
-    mean = F.try_divide(F.col("_total").cast("double"), F.col("n")) / F.lit(unit)
-    return df.withColumn("avg_price", mean).drop("_total")
+def _ranged(df: DataFrame, order: list[str], parts: int | None, shape) -> DataFrame:
+    """`shape` of the rows in ranges of `order`, written.
+
+    The rows are written as they come first, and each gets its place there, which breaks ties
+    between copies: a scan gives the same places whenever it is repeated, as when a lost task runs
+    again, and rows that come out of a shuffle would not. It also spares working out `df` a second
+    time to sample it for range bounds. That first table is removed once the second is written.
+    """
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first = new_path(spark, "to-range")
+    df.write.parquet(first)
+    scanned = spark.read.schema(df.schema).parquet(first).withColumn(_SCANNED, F.monotonically_increasing_id())
+    ranged = keep(shape(scanned.repartitionByRange(parts, *order)), "ranged")
+    remove(spark, first)
+    return ranged

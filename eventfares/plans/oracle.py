@@ -72,6 +72,17 @@ changed AS (
   WHERE old.cents IS DISTINCT FROM new.cents
 )"""
 
+# The fare feed: an expired snapshot, a full one, and the changes to it.
+FEED = """
+feed AS (
+  SELECT start_city, end_city, flight_date, round_even(CAST(cents AS DOUBLE) / 100, 0) AS price, 0 AS arrival
+  FROM new WHERE cents > 0
+  UNION ALL SELECT start_city, end_city, flight_date, round_even(CAST(cents AS DOUBLE) / 100, 0), 1
+  FROM old WHERE cents > 0
+  UNION ALL SELECT start_city, end_city, flight_date, round_even(CAST(new_price AS DOUBLE) / 100, 0), 2
+  FROM changed WHERE new_price IS NOT NULL
+)"""
+
 # The events that the pages are built from, as rows.
 PAGE_EVENTS = """
 page_events AS (
@@ -191,6 +202,22 @@ FROM documents WHERE NOT regexp_matches(text, {FOUR_FIELDS})""",
     + """SELECT start_city, end_city, count(*) AS n,
        CAST(sum(CAST(round_even(price, 0) AS BIGINT)) AS BIGINT) AS total
 FROM flights WHERE price > 0 GROUP BY ALL""",
+    "snapshot_and_changes": _with(FLIGHTS, SNAPSHOTS, FEED)
+    + """SELECT start_city, end_city, count(*) AS n, CAST(sum(CAST(price AS BIGINT)) AS BIGINT) AS total
+FROM feed WHERE arrival > 0 GROUP BY ALL""",
+    "average_fares": _with(CONCERTS, FLIGHTS, SNAPSHOTS, FEED)
+    + """SELECT event_city, CAST(event_date AS VARCHAR) AS event_date, sum(price) / count(*) AS avg_price,
+       2 * count(*) AS n
+FROM concerts JOIN feed ON event_city = end_city
+ AND flight_date > event_date - INTERVAL 5 DAY AND flight_date < event_date
+GROUP BY event_city, concerts.event_date""",
+    "average_fares_latest": _with(CONCERTS, FLIGHTS, SNAPSHOTS, FEED)
+    + """SELECT event_city, CAST(event_date AS VARCHAR) AS event_date, sum(price) / count(*) AS avg_price,
+       count(*) AS n
+FROM (SELECT DISTINCT artist, event_date, event_city FROM concerts) c
+JOIN (SELECT start_city, end_city, flight_date, arg_max(price, arrival) AS price FROM feed GROUP BY ALL) f
+  ON event_city = end_city AND flight_date > event_date - INTERVAL 5 DAY AND flight_date < event_date
+GROUP BY event_city, c.event_date""",
     "stream_feeds": _with(CONCERTS, FLIGHTS)
     + f"""SELECT 'concerts' AS feed, 'accepted' AS kind, event_city AS city, count(*) AS n
 FROM concerts GROUP BY ALL
@@ -217,6 +244,12 @@ FROM page_events""",
     + """SELECT 'none' AS reason, count(*) AS n FROM page_events
 UNION ALL SELECT 'malformed', count(*) FROM documents
 UNION ALL SELECT 'no event list', count(*) FROM documents""",
+    "page_items": _with(PAGE_EVENTS)
+    + """SELECT 'event' AS kind, CASE WHEN n_nationkey % 10 IN (3, 6, 9) THEN 'bad event' ELSE 'none' END AS reason,
+       count(*) AS n, CAST(sum(id) AS BIGINT) AS ids
+FROM page_events GROUP BY ALL
+UNION ALL SELECT 'setlist', CASE WHEN conv_id % 3 = 0 THEN 'bad setlist' ELSE 'none' END, count(*), CAST(sum(turn) AS BIGINT)
+FROM conversations GROUP BY ALL""",
     "event_search": _with(PAGE_EVENTS)
     + """SELECT id, c_custkey AS list_position, CAST(start_date AS VARCHAR) AS start_date
 FROM page_events

@@ -7,15 +7,16 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventfares.functions.scalars import zero_below
 from eventfares.operators import aggs, events, fares, joins, ordering
+from eventfares.plans import batch, tables
 from eventfares.plans import concert_feed as feed_plan
-from eventfares.plans import tables
 from eventfares.settings import FARE_DAYS, keep, new_path
 from eventfares.sources import feeds, pages, parse, sinks
 from eventfares.streaming import join as stream_join
@@ -81,9 +82,9 @@ def running_avg(spark, sf_dir):
 
 
 def running_avg_split(spark, sf_dir):
-    """The same, with every user who has more than 80 events treated as a hot key."""
+    """The same in so many ranges that most users' events lie in several."""
     amounts = tables.amounts(spark, sf_dir)
-    return ordering.running_avg(amounts, ["user_id"], ["event_id"], "cents", CENTS, group_rows=80)
+    return ordering.running_avg(amounts, ["user_id"], ["event_id"], "cents", CENTS, parts=200)
 
 
 def number_rows(spark, sf_dir):
@@ -270,16 +271,57 @@ def parse_quarantine(spark, sf_dir):
 
 
 def fare_feed(spark, sf_dir):
-    """Fares written as a feed snapshot at whole prices, then read back as recent feed files."""
+    """Fares written as a feed snapshot at whole prices, then read back as what is recent."""
     path = new_path(spark, "fare-feed")
     sinks.write_feed(sinks.fare_snapshot(tables.flights(spark, sf_dir)), path, SNAPSHOT_TIME)
-    lines = feeds.recent_files(feeds.feed_lines(spark, path), datetime.now(timezone.utc))
-    flights = parse.accepted(parse.flights(lines))
+    lines = feeds.recent_files(feeds.feed_lines(spark, path), SNAPSHOT_TIME)
+    return _fare_totals(parse.accepted(parse.flights(lines)))
+
+
+def _fare_totals(flights):
     return flights.groupBy("start_city", "end_city").agg(
         F.count("*").alias("n"), F.sum(F.col("price").cast("long")).alias("total")
     )
 
 
+def _write_snapshots(spark, sf_dir, path):
+    """An expired snapshot of returned fares, a full one, and the changes to it, as one feed."""
+    fares_of = lambda s: s.withColumn("price", F.col("cents") / 100)
+    old, new = (fares_of(s) for s in _snapshots(spark, sf_dir))
+    second = timedelta(seconds=1)
+    sinks.write_feed(sinks.fare_snapshot(new), path, SNAPSHOT_TIME - 300 * second)
+    sinks.write_feed(sinks.fare_snapshot(old), path, SNAPSHOT_TIME - 100 * second)
+    sinks.write_feed(sinks.fare_changes(fares.diff(old, new)), path, SNAPSHOT_TIME)
+
+
+def snapshot_and_changes(spark, sf_dir):
+    """A full snapshot and its changes read as one feed, without the snapshot that has expired."""
+    path = new_path(spark, "fare-snapshots")
+    _write_snapshots(spark, sf_dir, path)
+    lines = feeds.recent_files(feeds.feed_lines(spark, path), SNAPSHOT_TIME)
+    return _fare_totals(parse.accepted(parse.flights(lines)))
+
+
+def _average_fares(spark, sf_dir, latest_only):
+    base = new_path(spark, "both-feeds")
+    concerts = sinks.concert_snapshot(tables.concerts(spark, sf_dir))
+    for seconds in (0, 20):
+        sinks.write_feed(concerts, f"{base}/concerts", SNAPSHOT_TIME + timedelta(seconds=seconds))
+    _write_snapshots(spark, sf_dir, f"{base}/fares")
+    averages = batch.average_fares(spark, f"{base}/concerts", f"{base}/fares", latest_only)
+    return _text_dates(averages)
+
+
+def average_fares(spark, sf_dir):
+    """The average over both feeds, in which every repeat counts."""
+    return _average_fares(spark, sf_dir, latest_only=False)
+
+
+def average_fares_latest(spark, sf_dir):
+    """The average with each concert once and each fare at its latest price."""
+    return _average_fares(spark, sf_dir, latest_only=True)
+
+
 def stream_feeds(spark, sf_dir):
     """Both feeds written as CSV among lines of prose, and read as streams of records."""
     base = new_path(spark, "feeds")
@@ -360,6 +402,30 @@ def page_rejects(spark, sf_dir):
     )
 
 
+def page_items(spark, sf_dir):
+    """Event and setlist pages on which every third item has a field of another type."""
+    event_page = r'"venue":\{"id":(\d*[369]),'
+    bodies = tables.event_bodies(spark, sf_dir).select(
+        F.regexp_replace("body", event_page, '"venue":{"id":"x$1",').alias("body")
+    )
+    good, bad = _write_pages(spark, bodies)
+    path = new_path(spark, "setlist-pages")
+    spoiled = F.when(F.col("event_id") % 3 == 0, F.regexp_replace("body", '"encore":1', '"encore":true'))
+    setlists = tables.setlist_bodies(spark, sf_dir).select("event_id", F.coalesce(spoiled, "body").alias("body"))
+    # By event, so that a folder is one file; the reader takes the event from its folder.
+    setlists.repartition("event_id").write.partitionBy("event_id").text(path)
+    sets, bad_sets = pages.read_setlist_pages(spark, path)
+    parts = {"event": good, "setlist": sets}
+    rows = [df.agg(F.lit(name).alias("kind"), F.lit("none").alias("reason"), F.count("*").alias("n"), F.sum("id").alias("ids")) for name, df in parts.items()]
+    rows += [
+        df.groupBy(F.lit(name).alias("kind"), "reason").agg(
+            F.count("*").alias("n"), F.sum(F.get_json_object("body", "$.id").cast("long")).alias("ids")
+        )
+        for name, df in (("event", bad), ("setlist", bad_sets))
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def event_search(spark, sf_dir):
     """Events of the artists of one market segment, between two dates."""
     artists = tables.table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(
@@ -531,9 +597,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         concert_csv,
         parse_quarantine,
         fare_feed,
+        snapshot_and_changes,
+        average_fares,
+        average_fares_latest,
         stream_feeds,
         event_pages,
         page_rejects,
+        page_items,
         event_search,
         concert_feed,
         active_events,

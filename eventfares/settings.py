@@ -32,10 +32,8 @@ BATCH_INTERVAL = "22 seconds"
 ARRIVAL_DELAY = f"{RETENTION_SECONDS} seconds"
 SHOWN_ROWS = 10
 
-# A group larger than this is split over several tasks where one task would otherwise hold it.
-GROUP_ROWS = 5_000_000
-
 _local_dirs: dict[str, str] = {}
+_paths: dict[str, list[str]] = {}
 
 
 def session(app: str = "eventfares", **conf) -> SparkSession:
@@ -69,8 +67,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark).rstrip('/')}/eventfares/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses; `clear` removes it."""
+    path = f"{shared_dir(spark).rstrip('/')}/eventfares/{label}-{uuid.uuid4().hex}"
+    _paths.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what is at a path of `new_path`."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application. Results that read them must be written."""
+    for path in _paths.pop(spark.sparkContext.applicationId, []):
+        remove(spark, path)
 
 
 def keep(df: DataFrame, label: str) -> DataFrame:

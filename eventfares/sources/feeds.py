@@ -7,16 +7,18 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventfares.functions.scalars import city_name
+from eventfares.functions.scalars import COMPACT_STAMP, city_name
 from eventfares.schemas import CONCERTS, CORRUPT
 from eventfares.settings import RETENTION_SECONDS
 from eventfares.sources import parse
 
 ARRIVAL = "arrival"
+# The folder that a snapshot's files are in carries its time, so that all of them arrive at once.
+STAMPED = r"/snapshot=(\d{14})/"
 
 
 def feed_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Every line below `path`, with the time its file arrived."""
+    """Every line below `path`, with the time it arrived: its snapshot's, else its file's."""
     return _with_arrival(spark.read.option("recursiveFileLookup", True).text(path))
 
 
@@ -29,17 +31,19 @@ def feed_lines_stream(
 ) -> DataFrame:
     """The same lines as a stream that picks up new files.
 
-    `retention_seconds` skips files that much older than the newest read so far, once a first batch
-    has read what was there; `archive` moves read files there; `max_files` bounds a batch.
+    `retention_seconds` leaves out what arrived that long before the batch, snapshots whole;
+    `archive` moves read files there; `max_files` bounds a batch.
     """
     reader = spark.readStream.option("recursiveFileLookup", True)
-    if retention_seconds is not None:
-        reader = reader.option("maxFileAge", f"{retention_seconds}s")
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return _with_arrival(reader.text(path))
+    lines = _with_arrival(reader.text(path))
+    if retention_seconds is None:
+        return lines
+    oldest = F.current_timestamp() - F.make_dt_interval(secs=F.lit(retention_seconds))
+    return lines.where(F.col(ARRIVAL) >= oldest)
 
 
 def read_concerts_stream(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -78,10 +82,13 @@ def read_cities(spark: SparkSession, path: str) -> DataFrame:
 def recent_files(
     lines: DataFrame, now: datetime, seconds: int = RETENTION_SECONDS
 ) -> DataFrame:
-    """Lines of files no older than `seconds`. Older files are dropped from the scan itself."""
+    """Lines that arrived no more than `seconds` before `now`; a snapshot stays or goes as a whole."""
     oldest = F.lit(now - timedelta(seconds=seconds)).cast("timestamp")
     return lines.where(F.col(ARRIVAL) >= oldest)
 
 
 def _with_arrival(lines: DataFrame) -> DataFrame:
-    return lines.select("value", F.col("_metadata.file_modification_time").alias(ARRIVAL))
+    stamp = F.regexp_extract("_metadata.file_path", STAMPED, 1)
+    stamped = F.when(stamp != "", F.to_timestamp(stamp, COMPACT_STAMP))
+    arrival = F.coalesce(stamped, F.col("_metadata.file_modification_time"))
+    return lines.select("value", arrival.alias(ARRIVAL))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventfares.functions.scalars import once
 from eventfares.schemas import CORRUPT, EVENT, SETLIST, page
@@ -20,14 +21,14 @@ def page_bodies(spark: SparkSession, path: str, whole_files: bool = False) -> Da
 def read_event_pages(
     spark: SparkSession, path: str, whole_files: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Events, one row each, and the pages that hold no list of them, with the reason."""
+    """Events, one row each, and with the reason the pages that hold no list, and unfit events."""
     return event_pages(page_bodies(spark, path, whole_files))
 
 
 def read_setlist_pages(
     spark: SparkSession, path: str, whole_files: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Setlists, one row each, and rejected pages.
+    """Setlists, one row each, and rejected pages and setlists.
 
     The event a page was asked for is not in its body, so it is a partition: `path/event_id=...`.
     """
@@ -54,15 +55,22 @@ def setlist_items(setlists: DataFrame) -> DataFrame:
 
 
 def _decode(bodies: DataFrame, enclosure: str, item: str) -> tuple[DataFrame, DataFrame]:
+    """Items, and what is set aside with its reason: whole pages, and items that do not fit."""
     others = [c for c in bodies.columns if c != "body"]
-    schema = f"{page(enclosure, item)}, {CORRUPT} string"
+    # The items stay text at first, so that one of another shape does not spoil its page.
+    schema = f"{page(enclosure, 'string')}, {CORRUPT} string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     pages = bodies.select("*", once(F.from_json("body", schema, options)).alias("_page"))
     items, reason = F.col(f"_page.resultsPage.results.{enclosure}"), _reason(enclosure)
-
-    good = pages.select(*others, F.explode(F.when(reason.isNull(), items)).alias("_item"))
     bad = pages.where(reason.isNotNull()).select(*others, "body", reason.alias("reason"))
-    return good.select(*others, "_item.*"), bad
+
+    texts = pages.select(*others, F.explode(F.when(reason.isNull(), items)).alias("body"))
+    wanted = T.StructType.fromDDL(f"_item {item}").fields[0].dataType.add(CORRUPT, "string")
+    read = texts.select("*", once(F.from_json("body", wanted, options)).alias("_item"))
+    unfit = F.col("_item").isNull() | F.col(f"_item.{CORRUPT}").isNotNull()
+    good = read.where(~unfit).select(*others, "_item.*").drop(CORRUPT)
+    set_aside = read.where(unfit).select(*others, "body", F.lit(f"bad {enclosure}").alias("reason"))
+    return good, bad.unionByName(set_aside)
 
 
 def _reason(enclosure: str) -> Column:

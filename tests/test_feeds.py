@@ -115,13 +115,16 @@ def test_recent_files(spark, tmp_path):
     assert sorted(r.value for r in kept.collect()) == ["edge", "new"]
 
 
-def test_old_files_are_pruned_from_the_scan(spark, tmp_path):
-    for name, age in (("old", 500), ("new", 0)):
-        path = tmp_path / f"{name}.csv"
-        path.write_text(f"{name}\n" * 1000)
-        os.utime(path, (NOON.timestamp() - age,) * 2)
-    kept = feeds.recent_files(feeds.feed_lines(spark, str(tmp_path)), NOON)
-    assert kept.rdd.getNumPartitions() == 1
+def test_a_snapshot_arrives_and_expires_as_a_whole(spark, tmp_path, make_flights):
+    flights = make_flights(*[("P", "D", f"2018-11-{d:02}", d) for d in range(1, 21)]).repartition(4)
+    for age in (201, 200):
+        target = sinks.write_feed(sinks.fare_snapshot(flights), str(tmp_path), NOON - dt.timedelta(seconds=age))
+        # Its parts are closed half a minute apart, and copied to another store later still.
+        for k, part in enumerate(sorted(p for p in os.listdir(target) if p.startswith("part"))):
+            os.utime(f"{target}/{part}", (NOON.timestamp() + 30 * k,) * 2)
+    lines = feeds.feed_lines(spark, str(tmp_path))
+    assert lines.select(feeds.ARRIVAL).distinct().count() == 2
+    assert feeds.recent_files(lines, NOON).count() == 20
 
 
 def test_commas_and_quotes_survive_a_round_trip(spark, tmp_path, make_concerts):

@@ -1,8 +1,10 @@
+import os
 from types import SimpleNamespace
 
 import pytest
 
 from eventfares import settings
+from eventfares.settings import clear, keep
 
 
 def fake(master, **conf):
@@ -24,6 +26,14 @@ def test_only_a_local_session_gets_a_temporary_folder():
         settings.shared_dir(fake("yarn"))
 
 
+def test_intermediate_folders_are_gone_after_clear(spark):
+    rows = keep(spark.range(5), "some")
+    path = rows.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(path)
+    clear(spark)
+    assert not os.path.exists(path)
+
+
 def test_kept_rows_are_read_back(spark):
     df = spark.sql("SELECT 1 AS a, array(named_struct('b', date '2020-02-29')) AS l")
     kept = settings.keep(df, "t")
