@@ -30,11 +30,27 @@ def city_totals(concerts: DataFrame, flights: DataFrame, price: str = "price") -
     )
 
 
+def fares_by_event_date(
+    concerts: DataFrame, flights: DataFrame, days: int = DAYS_BEFORE
+) -> DataFrame:
+    """Each fare once for every concert date it serves in its city, with `n_concerts` on that date.
+
+    The number of concerts stands for the pairs with each, so there are at most `days` rows per fare,
+    however many concerts there are. Concerts are counted before they meet any fare.
+    """
+    held = concerts.groupBy("event_city", "event_date").agg(F.count("*").alias("n_concerts"))
+    wanted = held.withColumn("flight_date", F.explode(days_before(F.col("event_date"), days)))
+    return wanted.join(flights.withColumnRenamed("end_city", "event_city"), ["event_city", "flight_date"])
+
+
 def event_flights_window(
     concerts: DataFrame, flights: DataFrame, days: int = DAYS_BEFORE
 ) -> DataFrame:
     """Each concert with the fares to its city that arrive 1 to `days` days before it.
 
+    There is a row for every pair, so this is for the concerts of a list; `fares_by_event_date` says
+    the same of all concerts in at most `days` rows per fare.
+
     A concert becomes one row per admissible flight date, which turns the date range into a second
     equality: the join hashes on (city, date) and never forms a pair it would have to drop. A hot
     (city, date) is left to the adaptive skew join, which splits both sides by map output and so

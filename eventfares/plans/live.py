@@ -1,71 +1,93 @@
 """The live job: two feed directories in, documents with the current average fares out.
 
-Run by `eventfares_live.py CONCERTS FARES WORK DOCUMENTS`.
+Run by `eventfares_live.py CONCERTS FARES WORK DOCUMENTS`. Three steps, each a query of its own that
+hands a table under WORK on to the next: ingest (one per feed), matching, averaging.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventfares.settings import ARRIVAL_DELAY, BATCH_INTERVAL, session
-from eventfares.sources import feeds, parse
-from eventfares.sources.sinks import write_documents
-from eventfares.streaming.join import join_totals, write_matches
-from eventfares.streaming.run import start
-from eventfares.streaming.state import running_avg
+from eventfares.schemas import CONCERTS, CORRUPT, FLIGHTS
+from eventfares.settings import ARRIVAL_DELAY, BATCH_INTERVAL, clear, session
+from eventfares.sources import feeds
+from eventfares.sources.sinks import to_console, write_documents
+from eventfares.streaming.join import join_feeds, join_totals, write_matches
+from eventfares.streaming.run import LateRows, late_rows, start
+from eventfares.streaming.state import rocksdb_state, running_avg, running_avg_per_record
 
+READERS = {"concerts": feeds.read_concerts_stream, "fares": feeds.read_flights_stream}
+RECORDS = {"concerts": CONCERTS, "fares": FLIGHTS}
 MATCH_SCHEMA = "event_city string, event_date date, total double, n bigint"
+RECORD_SCHEMA = "event_city string, event_date date, price double, weight bigint"
 
 
-def start_matching(
+def start_ingest(
     spark: SparkSession,
-    concerts: str,
-    fares: str,
+    feed: str,
+    path: str,
     work: str,
     interval: str = BATCH_INTERVAL,
-    delay: str = ARRIVAL_DELAY,
     once: bool = False,
     max_files: int | None = None,
+    retention_seconds: int | None = None,
+    archive: str | None = None,
 ) -> StreamingQuery:
-    """Stage one: feed directories to a table of matched totals under `work`.
+    """Read a feed's lines once, to a table of its records. Lines that do not parse are kept in it."""
+    options = {"retention_seconds": retention_seconds, "archive": archive, "max_files": max_files}
+    records = READERS[feed](spark, path, **options)
+    marked = records.withColumn("rejected", F.col(CORRUPT).isNotNull().cast("int"))
+    writer = marked.writeStream.format("parquet").partitionBy("rejected")
+    target = writer.option("path", f"{work}/records/{feed}")
+    return start(target, f"{work}/checkpoints/{feed}", interval, once)
+
+
+def rejects(spark: SparkSession, work: str) -> DataFrame:
+    """Lines of either feed that did not parse: `feed, arrival, line`."""
+    found = [
+        spark.read.parquet(f"{work}/records/{feed}")
+        .where("rejected = 1")
+        .select(F.lit(feed).alias("feed"), feeds.ARRIVAL, F.col(CORRUPT).alias("line"))
+        for feed in READERS
+    ]
+    return found[0].unionByName(found[1])
 
-    `max_files` bounds what a batch reads of each feed. The join waits for the slower one: rows
-    leave its state by the earlier of both feeds' times.
-    """
-    matches = join_totals(
-        parse.accepted(feeds.read_concerts_stream(spark, concerts, max_files=max_files)),
-        parse.accepted(feeds.read_flights_stream(spark, fares, max_files=max_files)),
-        interval=interval,
-        delay=delay,
-    )
-    writer = write_matches(matches, f"{work}/matches")
-    return start(writer, f"{work}/checkpoints/matches", interval, once)
 
+def _accepted(spark: SparkSession, feed: str, work: str, max_files: int | None) -> DataFrame:
+    schema = f"{RECORDS[feed]}, {CORRUPT} string, {feeds.ARRIVAL} timestamp, rejected int"
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    records = reader.parquet(f"{work}/records/{feed}")
+    return records.where("rejected = 0").drop("rejected", CORRUPT)
 
-def start_quarantine(
+
+def start_matching(
     spark: SparkSession,
-    concerts: str,
-    fares: str,
     work: str,
     interval: str = BATCH_INTERVAL,
+    delay: str = ARRIVAL_DELAY,
     once: bool = False,
+    max_files: int | None = None,
+    each_record: bool = False,
 ) -> StreamingQuery:
-    """Lines of either feed that do not parse, to a table under `work`."""
-    rejects = [
-        parse.rejected(records).select(F.lit(feed).alias("feed"), feeds.ARRIVAL, "line")
-        for feed, records in (
-            ("concerts", feeds.read_concerts_stream(spark, concerts)),
-            ("fares", feeds.read_flights_stream(spark, fares)),
-        )
-    ]
-    writer = rejects[0].unionByName(rejects[1]).writeStream.format("parquet")
-    return start(
-        writer.option("path", f"{work}/rejects"), f"{work}/checkpoints/rejects", interval, once
-    )
+    """Tables of records to a table of matches: totals, or with `each_record` a row per fare and date.
+
+    `max_files` bounds what a batch reads of each table. The join waits for the slower feed: rows
+    leave its state by the earlier of both feeds' times.
+    """
+    both = [_accepted(spark, feed, work, max_files) for feed in READERS]
+    pace = {"interval": interval, "delay": delay}
+    if each_record:
+        matches = join_feeds(*both, **pace).select("event_city", "event_date", "price", "weight")
+    else:
+        matches = join_totals(*both, **pace)
+    writer = write_matches(matches, f"{work}/matches")
+    return start(writer, f"{work}/checkpoints/matches", interval, once)
 
 
 def start_averaging(
@@ -74,14 +96,40 @@ def start_averaging(
     documents: str,
     interval: str = BATCH_INTERVAL,
     once: bool = False,
+    max_files: int | None = None,
+    each_record: bool = False,
 ) -> StreamingQuery:
-    """Stage two: the table of matched totals to documents."""
-    matches = spark.readStream.schema(MATCH_SCHEMA).parquet(f"{work}/matches")
-    writer = write_documents(running_avg(matches), documents)
-    return start(writer, f"{work}/checkpoints/averages", interval, once)
+    """The table of matches to documents: one per changed key and batch, or one per record."""
+    reader = spark.readStream.schema(RECORD_SCHEMA if each_record else MATCH_SCHEMA)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    matches = reader.parquet(f"{work}/matches")
+    checkpoint = f"{work}/checkpoints/averages"
+    if not each_record:
+        return start(write_documents(running_avg(matches), documents), checkpoint, interval, once)
+    with rocksdb_state(spark):
+        writer = write_documents(running_avg_per_record(matches), documents, mode="append")
+        return start(writer, checkpoint, interval, once)
+
+
+def start_showing(
+    spark: SparkSession, work: str, interval: str = BATCH_INTERVAL, once: bool = False, each_record: bool = False
+) -> list[StreamingQuery]:
+    """Print the first rows of each batch of concerts and of averages."""
+    concerts = to_console(_accepted(spark, "concerts", work, None))
+    if each_record:
+        shown = spark.readStream.schema(RECORD_SCHEMA).parquet(f"{work}/matches")
+        averages = to_console(shown)
+    else:
+        totals = spark.readStream.schema(MATCH_SCHEMA).parquet(f"{work}/matches")
+        averages = to_console(running_avg(totals), mode="update")
+    return [
+        start(writer, f"{work}/checkpoints/show-{name}", interval, once)
+        for name, writer in (("concerts", concerts), ("averages", averages))
+    ]
 
 
-def main() -> None:
+def main(arguments: list[str] | None = None) -> None:
     args = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     args.add_argument("concerts")
     args.add_argument("fares")
@@ -89,26 +137,49 @@ def main() -> None:
     args.add_argument("documents")
     args.add_argument("--interval", default=BATCH_INTERVAL)
     args.add_argument("--delay", default=ARRIVAL_DELAY)
-    args.add_argument("--max-files", type=int, help="most files a batch reads of each feed")
+    args.add_argument("--max-files", type=int, help="most files a batch reads of each feed or table")
+    args.add_argument("--retention", type=int, help="leave out what arrived so many seconds ago")
+    args.add_argument("--archive", help="move feed files here once they have been read")
+    args.add_argument("--each-record", action="store_true", help="a document after every record")
+    args.add_argument("--show", action="store_true", help="print concerts and averages")
     args.add_argument("--once", action="store_true", help="process what is there, then stop")
-    given = args.parse_args()
+    given = args.parse_args(arguments)
 
     spark = session("live-event-fares")
-    feeds_and_work = (given.concerts, given.fares, given.work)
     pace = {"interval": given.interval, "once": given.once}
-    first = [
-        start_matching(
-            spark, *feeds_and_work, delay=given.delay, max_files=given.max_files, **pace
-        ),
-        start_quarantine(spark, *feeds_and_work, **pace),
-    ]
+    bounded = {**pace, "max_files": given.max_files}
+
+    def ingest() -> list[StreamingQuery]:
+        return [
+            start_ingest(
+                spark, feed, path, given.work, retention_seconds=given.retention,
+                archive=f"{given.archive}/{feed}" if given.archive else None, **bounded,
+            )
+            for feed, path in (("concerts", given.concerts), ("fares", given.fares))
+        ]
+
+    def match() -> list[StreamingQuery]:
+        return [start_matching(spark, given.work, delay=given.delay, each_record=given.each_record, **bounded)]
+
+    def average() -> list[StreamingQuery]:
+        return [start_averaging(spark, given.work, given.documents, each_record=given.each_record, **bounded)]
+
+    def show() -> list[StreamingQuery]:
+        return start_showing(spark, given.work, each_record=given.each_record, **pace) if given.show else []
+
     if not given.once:
-        start_averaging(spark, given.work, given.documents, **pace)
+        spark.streams.addListener(LateRows())
+        for step in (ingest, match, average, show):
+            step()
         spark.streams.awaitAnyTermination()
         return
-    for query in first:
-        query.awaitTermination()
-    start_averaging(spark, given.work, given.documents, **pace).awaitTermination()
+    for step in (ingest, match, average, show):
+        queries = step()
+        for query in queries:
+            query.awaitTermination()
+        if late := sum(map(late_rows, queries)):
+            print(f"{late} rows came too late to be matched")
+    clear(spark)
 
 
 if __name__ == "__main__":

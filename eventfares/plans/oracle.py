@@ -115,10 +115,17 @@ FROM (SELECT event_city, count(*) AS n_concerts FROM concerts GROUP BY 1)
 JOIN (SELECT end_city AS event_city, count(*) AS n_flights, sum(cents) AS total
       FROM arrivals GROUP BY 1) USING (event_city)""",
     "event_flights_window": _with(CONCERTS, FLIGHTS)
+    + """SELECT CAST(event_date AS VARCHAR) AS event_date, event_city, n_concerts,
+       CAST(flight_date AS VARCHAR) AS flight_date, start_city, cents, l_orderkey, l_linenumber
+FROM (SELECT event_city, event_date, count(*) AS n_concerts FROM concerts GROUP BY ALL) c
+JOIN flights ON event_city = end_city
+ AND flight_date > event_date - INTERVAL 5 DAY AND flight_date < event_date""",
+    "concert_flights": _with(CONCERTS, FLIGHTS)
     + """SELECT concert_id, artist, CAST(event_date AS VARCHAR) AS event_date, event_city,
        CAST(flight_date AS VARCHAR) AS flight_date, start_city, cents, l_orderkey, l_linenumber
 FROM concerts JOIN flights ON event_city = end_city
- AND flight_date > event_date - INTERVAL 5 DAY AND flight_date < event_date""",
+ AND flight_date > event_date - INTERVAL 5 DAY AND flight_date < event_date
+WHERE artist = (SELECT c_name FROM customer WHERE c_custkey = 1)""",
     "to_documents": _with(CONCERTS, ARRIVALS, MATCHES)
     + f"""SELECT event_city, strftime(event_date, '%Y-%m-%dT00:00:00.000Z') AS event_date,
        {MEAN} AS avg_price
@@ -290,7 +297,7 @@ FROM (SELECT conv_id AS event_id, turn AS id, string_split(text, '. ') AS songs,
 FROM matches GROUP BY event_city, matches.event_date""",
     "stream_running_avg_per_record": _with(CONCERTS, ARRIVALS, MONTHLY_MATCHES)
     + f"""SELECT event_city, CAST(event_date AS VARCHAR) AS event_date, {MEAN} AS avg_price,
-       count(*) AS n, count(*) AS emitted
+       count(*) AS n
 FROM matches GROUP BY event_city, matches.event_date""",
 }
 ORACLE["running_avg_split"] = ORACLE["running_avg"]

@@ -64,8 +64,17 @@ def city_totals(spark, sf_dir):
 
 
 def event_flights_window(spark, sf_dir):
+    """All fares by the concert dates they serve, with the number of concerts."""
     flights = _cents_flights(spark, sf_dir, "l_orderkey", "l_linenumber")
-    return _text_dates(joins.event_flights_window(tables.concerts(spark, sf_dir), flights))
+    return _text_dates(joins.fares_by_event_date(tables.concerts(spark, sf_dir), flights))
+
+
+def concert_flights(spark, sf_dir):
+    """The concerts of one artist, each with its fares."""
+    artist = tables.table(spark, sf_dir, "customer").where("c_custkey = 1").select(F.col("c_name").alias("artist"))
+    concerts = tables.concerts(spark, sf_dir).join(artist, "artist", "left_semi")
+    flights = _cents_flights(spark, sf_dir, "l_orderkey", "l_linenumber")
+    return _text_dates(joins.event_flights_window(concerts, flights))
 
 
 def to_documents(spark, sf_dir):
@@ -550,11 +559,12 @@ def stream_event_fare_avg(spark, sf_dir):
 
 
 def stream_running_avg_per_record(spark, sf_dir):
-    """Stage two record by record: the last row of each key is its average."""
+    """Stage two record by record, in which a fare carries the number of its concerts: the last row
+    of each key is its average."""
     base = new_path(spark, "stream-record")
     matches = stream_join.join_feeds(
         *_table_feeds(spark, sf_dir), interval=STREAM_INTERVAL, delay=STREAM_DELAY
-    ).select(*state.KEY, "price")
+    ).select(*state.KEY, "price", "weight")
     pairs = _run_matching(spark, matches, base)
     each = state.running_avg_per_record(pairs, CENTS)
     writer = each.writeStream.outputMode("append").format("parquet").option("path", f"{base}/each")
@@ -564,7 +574,6 @@ def stream_running_avg_per_record(spark, sf_dir):
     last = rows.groupBy(*state.KEY).agg(
         F.max_by("avg_price", "n").alias("avg_price"),
         F.max("n").alias("n"),
-        F.count("*").alias("emitted"),
     )
     return _text_dates(last)
 
@@ -575,6 +584,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         event_fare_avg,
         city_totals,
         event_flights_window,
+        concert_flights,
         to_documents,
         running_avg,
         running_avg_split,

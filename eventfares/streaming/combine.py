@@ -15,11 +15,13 @@ HELD_ROWS = 200_000
 
 
 def combine(feed: DataFrame, interval: str, keys: list[str], value: str | None = None) -> DataFrame:
-    """Rows with the same interval of arrival and `keys`, seen by one task, become one row.
+    """Rows with the same interval of arrival and `keys` in one batch become one row.
 
     It carries their number as `n` and, if a `value` column is named, its sum as `total`; its
-    arrival is the start of the interval. What follows (a join, an aggregation) adds up again, so
-    it does not matter how rows were spread over tasks: only far fewer have to be moved and kept.
+    arrival is the start of the interval. Each task adds up what it has read; the sums are brought
+    together by key and added up again, so what follows gets one row per key however many tasks
+    have read it. (A task that holds more than `HELD_ROWS` keys passes some on early; they count
+    like any others.)
     """
     measures = {"n": F.lit(1).cast("long")}
     if value is not None:
@@ -31,7 +33,8 @@ def combine(feed: DataFrame, interval: str, keys: list[str], value: str | None =
         *[column.alias(name) for name, column in measures.items()],
     )
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
-    return rows.mapInArrow(_adder([ARRIVAL, *keys], list(measures)), schema)
+    add_up = _adder([ARRIVAL, *keys], list(measures))
+    return rows.mapInArrow(add_up, schema).repartition(ARRIVAL, *keys).mapInArrow(add_up, schema)
 
 
 def _adder(keys: list[str], measures: list[str]):

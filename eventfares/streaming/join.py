@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from eventfares.functions.scalars import days_before
@@ -20,34 +21,38 @@ def join_feeds(
     days: int = DAYS_BEFORE,
     salts: int = 4,
 ) -> DataFrame:
-    """Concerts with the fares 1 to `days` days before, where both arrived in the same `interval`.
+    """Fares with the concert dates they serve, where fare and concerts arrived in one `interval`.
+
+    Each row has the fare's columns, `event_city` and `event_date`, and its `weight`: concerts on
+    that date times copies of the fare. So there are at most `days` rows per fare and batch of
+    concerts, and never one per pair.
 
     The range of dates and the shared interval are equalities here, so the join keeps its state per
     (interval, city, date). A row leaves the state once arrivals are `delay` past its interval;
     until then it meets every later partner, so `delay` must cover how far arrivals are out of order.
+    What comes later still is dropped and counted (see `run.late_rows`).
 
     A state key belongs to one task, so a hot one is dealt out over `salts` tasks: each fare to one
-    of them by its content, and each concert to all. Copies, which content cannot tell apart, are
-    counted within each task instead, and take their number again after the join.
+    of them by its content, and the concerts' count to all.
     """
-    held = combine(concerts, interval, [c for c in concerts.columns if c != ARRIVAL])
+    held = combine(concerts, interval, ["event_city", "event_date"])
     fares = combine(flights, interval, [c for c in flights.columns if c != ARRIVAL])
     salt = F.pmod(F.xxhash64(*[c for c in flights.columns if c != ARRIVAL]), F.lit(salts))
+    every_salt = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
     wanted = (
         _in_interval(held, interval, delay)
         .withColumnRenamed("n", "_concerts")
         .withColumn("flight_date", F.explode(days_before(F.col("event_date"), days)))
-        .withColumn("_salt", F.explode(_range(0, F.lit(salts - 1))))
+        .withColumn("_salt", F.explode(every_salt))
     )
     served = (
         _in_interval(fares.withColumn("_salt", salt), interval, delay)
         .withColumnRenamed("n", "_fares")
         .withColumnRenamed("end_city", "event_city")
     )
-    pairs = wanted.join(served, ["interval", "event_city", "flight_date", "_salt"])
-    for copies in ("_concerts", "_fares"):
-        pairs = pairs.withColumn("_copy", F.explode(_range(1, F.col(copies)))).drop("_copy", copies)
-    return pairs.drop("_salt")
+    matches = wanted.join(served, ["interval", "event_city", "flight_date", "_salt"])
+    weight = F.col("_concerts") * F.col("_fares")
+    return matches.withColumn("weight", weight).drop("_salt", "_concerts", "_fares")
 
 
 def join_totals(
@@ -60,9 +65,9 @@ def join_totals(
 ) -> DataFrame:
     """The matches of `join_feeds` in sums: event_city, event_date, `total` of prices, and `n`.
 
-    Each task first adds up the fares of a (city, date) and counts the concerts of one, so the join
-    keeps and emits sums instead of pairs, and a hot key is a few rows per task. Totals of several
-    rows with one key are to be added up.
+    The fares of a (city, date) are added up first, and the concerts of one counted, so the join has
+    one row per key, batch and side. Totals of several rows with one key are to be added up. Whole
+    numbers are multiplied as decimals, which they cannot outgrow.
     """
     held = combine(concerts, interval, ["event_city", "event_date"])
     fares = combine(flights, interval, ["end_city", "flight_date"], price)
@@ -72,10 +77,13 @@ def join_totals(
         .withColumn("flight_date", F.explode(days_before(F.col("event_date"), days)))
     )
     served = _in_interval(fares, interval, delay).withColumnRenamed("end_city", "event_city")
+    whole = isinstance(fares.schema["total"].dataType, T.IntegralType)
+    total = F.col("total").cast("decimal(19,0)") if whole else F.col("total")
+    concerts_held = F.col("_concerts").cast("decimal(18,0)") if whole else F.col("_concerts")
     return wanted.join(served, ["interval", "event_city", "flight_date"]).select(
         "event_city",
         "event_date",
-        (F.col("total") * F.col("_concerts")).alias("total"),
+        (total * concerts_held).alias("total"),
         (F.col("n") * F.col("_concerts")).alias("n"),
     )
 
@@ -85,10 +93,6 @@ def write_matches(matches: DataFrame, path: str) -> DataStreamWriter:
     return matches.writeStream.outputMode("append").format("parquet").option("path", path)
 
 
-def _range(first: int, last: Column) -> Column:
-    return F.sequence(F.lit(first).cast("long"), last.cast("long"))
-
-
 def _in_interval(feed: DataFrame, interval: str, delay: str) -> DataFrame:
     # Only one event-time column may stay, so the arrival gives way to its interval.
     return (

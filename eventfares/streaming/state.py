@@ -30,13 +30,17 @@ def running_avg(totals: DataFrame, unit: float = 1.0) -> DataFrame:
 
 
 def running_avg_per_record(matches: DataFrame, unit: float = 1.0) -> DataFrame:
-    """The average after every single match: one row out for each row (of a `price`) in.
+    """The average after every single record: one row out for each row of a `price` in.
 
-    State is grouped by city and month, so that one call serves a month's dates at once instead of
-    paying its fixed cost for each. Start the query inside `rocksdb_state`.
+    A row with a `weight` counts so many times at once. State is grouped by city and week, so that
+    one call serves a week's dates instead of paying its fixed cost for each. Start the query inside
+    `rocksdb_state`.
     """
-    monthly = matches.withColumn("month", F.trunc("event_date", "month"))
-    return monthly.groupBy("event_city", "month").transformWithStateInPandas(
+    weight = F.col("weight") if "weight" in matches.columns else F.lit(1)
+    weekly = matches.select(
+        *KEY, "price", weight.cast("bigint").alias("weight"), F.trunc("event_date", "week").alias("week")
+    )
+    return weekly.groupBy("event_city", "week").transformWithStateInPandas(
         statefulProcessor=_RunningMeans(unit),
         outputStructType=AVERAGES,
         outputMode="Append",
@@ -59,7 +63,7 @@ def rocksdb_state(spark: SparkSession) -> Iterator[None]:
 
 
 class _RunningMeans(StatefulProcessor):
-    """Keeps the sum and count of each date of one city and month: 31 dates at the most.
+    """Keeps the sum and count of each date of one city and week: 7 dates at the most.
 
     Rows come in Arrow batches, and are never all held.
     """
@@ -77,9 +81,9 @@ class _RunningMeans(StatefulProcessor):
         total, n = dict(zip(dates, totals)), dict(zip(dates, counts))
         for batch in rows:
             day = batch["event_date"]
-            prices = batch["price"].astype("float64").groupby(day)
+            prices = (batch["price"].astype("float64") * batch["weight"]).groupby(day)
             sums = day.map(total).fillna(0.0).astype("float64") + prices.cumsum()
-            seen = day.map(n).fillna(0).astype("int64") + prices.cumcount() + 1
+            seen = day.map(n).fillna(0).astype("int64") + batch["weight"].groupby(day).cumsum()
             last = ~day.duplicated(keep="last")
             total.update(zip(day[last], sums[last].tolist()))
             n.update(zip(day[last], seen[last].tolist()))

@@ -25,10 +25,10 @@ class Feeds:
         for name in ("concerts", "fares"):
             (root / name).mkdir()
 
-    def add(self, feed, second, *lines):
-        path = self.root / feed / f"{second}.csv"
+    def add(self, feed, name, *lines, second=None):
+        path = self.root / feed / f"{name}.csv"
         path.write_text("".join(f"{line}\n" for line in lines))
-        os.utime(path, (NOON + second,) * 2)
+        os.utime(path, (NOON + (name if second is None else second),) * 2)
 
     def __getattr__(self, name):
         return str(self.root / name)
@@ -45,19 +45,28 @@ def fare(city, date, price):
 
 def live_once(spark, folders, **options):
     options = {"interval": "20 seconds", "delay": "1 hour", **options}
-    live.start_matching(
-        spark, folders.concerts, folders.fares, folders.work, once=True, **options
+    max_files = options.get("max_files")
+    ingest(spark, folders, max_files=max_files)
+    matching = live.start_matching(spark, folders.work, once=True, **options)
+    matching.awaitTermination()
+    each_record = options.get("each_record", False)
+    live.start_averaging(
+        spark, folders.work, folders.documents, once=True, max_files=max_files, each_record=each_record
     ).awaitTermination()
-    live.start_averaging(spark, folders.work, folders.documents, once=True).awaitTermination()
+    return matching
+
+
+def ingest(spark, folders, **options):
+    for feed in ("concerts", "fares"):
+        path = getattr(folders, feed)
+        live.start_ingest(spark, feed, path, folders.work, once=True, **options).awaitTermination()
 
 
 def test_bad_lines_are_kept_aside(spark, folders):
     folders.add("concerts", 1, "header,line,x,y", f"1,A,{DATE},Dublin")
     folders.add("fares", 2, "a,b", fare("Dublin", "2018-11-12", 10))
-    live.start_quarantine(
-        spark, folders.concerts, folders.fares, folders.work, once=True
-    ).awaitTermination()
-    rejects = spark.read.parquet(f"{folders.work}/rejects").collect()
+    ingest(spark, folders)
+    rejects = live.rejects(spark, folders.work).collect()
     assert sorted((r.feed, r.line) for r in rejects) == [("concerts", "header,line,x,y"), ("fares", "a,b")]
 
 
@@ -110,19 +119,78 @@ def test_late_partner_within_the_delay_still_meets(spark, folders):
     assert [d[3] for d in documents(spark, folders)] == [10.0]
 
 
-def test_both_stages_run_side_by_side(spark, folders):
-    matching = live.start_matching(
-        spark, folders.concerts, folders.fares, folders.work, interval="1 second"
+def test_rows_behind_the_watermark_are_counted(spark, folders):
+    folders.add("concerts", 1000, f"1,A,{DATE},Dublin")
+    folders.add("fares", 1000, fare("Dublin", "2018-11-12", 10))
+    assert run.late_rows(live_once(spark, folders, delay="200 seconds")) == 0
+    folders.add("concerts", 500, f"1,A,{DATE},Dublin")
+    folders.add("fares", 501, fare("Dublin", "2018-11-12", 99))
+    assert run.late_rows(live_once(spark, folders, delay="200 seconds")) > 0
+    assert [d[3] for d in documents(spark, folders)] == [10.0]
+
+
+def test_a_snapshot_closed_over_half_a_minute_meets_its_concerts(spark, folders):
+    stamp = "snapshot=20181101120000"
+    (folders.root / "fares" / stamp).mkdir()
+    (folders.root / "concerts" / stamp).mkdir()
+    folders.add("concerts", f"{stamp}/part-0", f"1,A,{DATE},Dublin", second=30)
+    folders.add("fares", f"{stamp}/part-0", fare("Dublin", "2018-11-12", 10), second=1)
+    folders.add("fares", f"{stamp}/part-1", fare("Dublin", "2018-11-12", 20), second=31)
+    live_once(spark, folders)
+    assert documents(spark, folders)[-1][3] == 15.0
+
+
+def test_a_document_after_every_record(spark, folders):
+    folders.add("concerts", 1, f"1,A,{DATE},Dublin", f"2,B,{DATE},Dublin")
+    folders.add("fares", 2, fare("Dublin", "2018-11-12", 10), fare("Dublin", "2018-11-13", 40))
+    live_once(spark, folders, each_record=True)
+    found = [d[3] for d in documents(spark, folders)]
+    assert sorted(found) in ([10.0, 25.0], [25.0, 40.0])  # the first of either fare, then both
+
+
+@pytest.mark.parametrize("mode", [[], ["--each-record"]])
+def test_the_whole_job_in_both_modes(spark, folders, mode, capsys):
+    folders.add("concerts", 1, f"1,A,{DATE},Dublin", "broken")
+    for second in (2, 3):
+        folders.add("fares", second, fare("Dublin", "2018-11-12", 10 * second))
+    live.main(
+        [folders.concerts, folders.fares, folders.work, folders.documents, "--once", "--show",
+         "--delay", "1 hour", "--max-files", "1", "--archive", folders.archive, *mode]
     )
-    averaging = live.start_averaging(spark, folders.work, folders.documents, interval="1 second")
+    assert documents(spark, folders)[-1][1:] == ("Dublin", "2018-11-16T00:00:00.000Z", 25.0)
+    assert live.rejects(spark, folders.work).count() == 1
+
+
+def test_one_row_per_key_and_side_whatever_the_tasks(spark, folders):
+    for k in range(12):
+        folders.add("concerts", k, f"{k},A,{DATE},Dublin")
+        folders.add("fares", k + 0.5, fare("Dublin", "2018-11-12", k))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+    try:
+        ingest(spark, folders)
+        totals = join.join_totals(*_streams(spark, folders), interval="20 seconds", delay="1 hour")
+        run.run_once(join.write_matches(totals, f"{folders.root}/totals"), f"{folders.root}/ckpt")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [(r.total, r.n) for r in spark.read.parquet(f"{folders.root}/totals").collect()] == [(12 * 66.0, 144)]
+
+
+def test_both_stages_run_side_by_side(spark, folders):
+    folders.add("concerts", 0.1, f"1,A,{DATE},Dublin")
+    folders.add("fares", 0.2, fare("Dublin", "2018-11-12", 10))
+    pace = {"interval": "1 second"}
+    running = [
+        live.start_ingest(spark, "concerts", folders.concerts, folders.work, **pace),
+        live.start_ingest(spark, "fares", folders.fares, folders.work, **pace),
+        live.start_matching(spark, folders.work, **pace),
+        live.start_averaging(spark, folders.work, folders.documents, **pace),
+    ]
     try:
-        folders.add("concerts", 0.1, f"1,A,{DATE},Dublin")
-        folders.add("fares", 0.2, fare("Dublin", "2018-11-12", 10))
-        matching.processAllAvailable()
-        averaging.processAllAvailable()
+        for query in running:
+            query.processAllAvailable()
     finally:
-        matching.stop()
-        averaging.stop()
+        for query in running:
+            query.stop()
     assert [d[1:] for d in documents(spark, folders)] == [
         ("Dublin", "2018-11-16T00:00:00.000Z", 10.0)
     ]
@@ -155,7 +223,7 @@ def _batch(spark, folders):
 @pytest.mark.parametrize("salts", [1, 4])
 def test_matches_and_totals_agree_with_batch(spark, crowded, salts):
     options = {"interval": "1 minute", "delay": "1 hour"}
-    pairs = join.join_feeds(*_streams(spark, crowded), salts=salts, **options).select(*state.KEY, "price")
+    pairs = join.join_feeds(*_streams(spark, crowded), salts=salts, **options).select(*state.KEY, "price", "weight")
     totals = join.join_totals(*_streams(spark, crowded), **options)
     for name, matches in (("pairs", pairs), ("totals", totals)):
         run.run_once(join.write_matches(matches, f"{crowded.root}/{name}"), f"{crowded.root}/ckpt-{name}")
@@ -165,7 +233,10 @@ def test_matches_and_totals_agree_with_batch(spark, crowded, salts):
     }
     assert expected[("Dublin", day(DATE))][1] == 3 * 153
 
-    by_pairs = spark.read.parquet(f"{crowded.root}/pairs").groupBy(*state.KEY).agg(F.avg("price"), F.count("*"))
+    rows = spark.read.parquet(f"{crowded.root}/pairs")
+    assert rows.count() < 30  # copies and concerts are weights
+    mean = F.sum(F.col("price") * F.col("weight")) / F.sum("weight")
+    by_pairs = rows.groupBy(*state.KEY).agg(mean, F.sum("weight"))
     assert {tuple(r[:2]): (pytest.approx(r[2]), r[3]) for r in by_pairs.collect()} == expected
     written = spark.read.parquet(f"{crowded.root}/totals")
     by_totals = state.running_avg(written)
@@ -175,12 +246,12 @@ def test_matches_and_totals_agree_with_batch(spark, crowded, salts):
 
 def test_average_after_every_record(spark, crowded):
     options = {"interval": "1 minute", "delay": "1 hour"}
-    pairs = join.join_feeds(*_streams(spark, crowded), **options).select(*state.KEY, "price")
+    pairs = join.join_feeds(*_streams(spark, crowded), **options).select(*state.KEY, "price", "weight")
     table = f"{crowded.root}/pairs"
     run.run_once(join.write_matches(pairs, table), f"{crowded.root}/ckpt-pairs")
 
     def go():
-        stream = spark.readStream.schema("event_city string, event_date date, price double").parquet(table)
+        stream = spark.readStream.schema(live.RECORD_SCHEMA).parquet(table)
         each = state.running_avg_per_record(stream)
         writer = each.writeStream.format("parquet").option("path", f"{crowded.root}/each")
         with state.rocksdb_state(spark):
@@ -193,17 +264,16 @@ def test_average_after_every_record(spark, crowded):
     # Another interval, after a restart: counts go on.
     crowded.add("concerts", 121, f"1,A,{DATE},Dublin")
     crowded.add("fares", 122, fare("Dublin", "2018-11-14", 1000))
-    again = join.join_feeds(*_streams(spark, crowded), **options).select(*state.KEY, "price")
+    again = join.join_feeds(*_streams(spark, crowded), **options).select(*state.KEY, "price", "weight")
     run.run_once(join.write_matches(again, table), f"{crowded.root}/ckpt-pairs")
     go()
 
     rows = spark.read.parquet(f"{crowded.root}/each").collect()
-    prices = [
-        r.price for r in spark.read.parquet(table).collect() if r.event_city == "Dublin"
-    ]
+    matched = [r for r in spark.read.parquet(table).collect() if r.event_city == "Dublin"]
     dublin = sorted((r.n, r.avg_price) for r in rows if r.event_city == "Dublin")
-    assert [n for n, _ in dublin] == list(range(1, 3 * 153 + 2))
-    assert dublin[-1][1] == pytest.approx(sum(prices) / len(prices))
+    assert len(dublin) == len(matched) and len({n for n, _ in dublin}) == len(dublin)
+    assert dublin[-1][0] == sum(r.weight for r in matched) == 3 * 153 + 1
+    assert dublin[-1][1] == pytest.approx(sum(r.price * r.weight for r in matched) / dublin[-1][0])
     assert max(r.n for r in rows if r.event_city == "Rome") == 3
 
 
@@ -249,7 +319,7 @@ def test_console(spark, folders):
     assert "ConsoleTable" in query.lastProgress["sink"]["description"]
 
 
-def test_stream_skips_old_files_and_archives_read_ones(spark, folders):
+def test_stream_leaves_out_the_expired_and_archives_what_it_has_read(spark, folders):
     def go():
         stream = parse.accepted(
             feeds.read_concerts_stream(
@@ -260,14 +330,14 @@ def test_stream_skips_old_files_and_archives_read_ones(spark, folders):
         run.run_once(writer, folders.ckpt)
         return sorted(r.concert_id for r in spark.read.parquet(folders.out).collect())
 
-    folders.add("concerts", 300, f"1,A,{DATE},Dublin")
+    now = dt.datetime.now(dt.timezone.utc).timestamp() - NOON
+    folders.add("concerts", "a", f"1,A,{DATE},Dublin", second=now)
     assert go() == [1]
-    folders.add("concerts", 99, f"2,A,{DATE},Dublin")
-    folders.add("concerts", 301, f"3,A,{DATE},Dublin")
-    folders.add("concerts", 302, f"4,A,{DATE},Dublin")
+    folders.add("concerts", "b", f"2,A,{DATE},Dublin", second=now - 400)
+    folders.add("concerts", "c", f"3,A,{DATE},Dublin", second=now + 1)
+    folders.add("concerts", "d", f"4,A,{DATE},Dublin", second=now + 2)
     assert go() == [1, 3, 4]
-    left = sorted(p.name for p in (folders.root / "concerts").glob("*.csv"))
-    assert "99.csv" in left and "300.csv" not in left
+    assert not (folders.root / "concerts" / "a.csv").exists()
 
 
 def test_processing_time_clock(spark, folders):
