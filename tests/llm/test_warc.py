@@ -1,0 +1,109 @@
+import gzip
+import hashlib
+import os
+import random
+
+from eventfares.llm import warc
+
+SCHEMA = "page_id bigint, url string, html string, payload string, sha string"
+
+
+def parts(folder):
+    return sorted(f"{folder}/{p}" for p in os.listdir(folder) if p.startswith("part"))
+
+
+def pages(spark, rows):
+    # Columns that the writer uses for itself, too.
+    return spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
+
+
+def read(spark, path):
+    return warc.records(warc.read_warc(spark, path)).collect()
+
+
+def test_round_trip_with_nulls_copies_and_ties(spark, tmp_path):
+    big, other = "é" * 600, "z" * 999
+    rows = [
+        (1, "http://a", big), (5, None, big), (5, None, big), (None, "http://b", big), (2, "u", big + "x"),
+        (7, "http://c", other), (8, "http://c", other), (9, "line\r\nfeed", None), (None, None, ""),
+    ]
+    warc.write_warc(pages(spark, rows), str(tmp_path / "w"))
+    found = sorted(
+        (r.record_id, r.record_type, r.refers_to or "", r.payload_bytes, r.payload_digest) for r in read(spark, str(tmp_path / "w"))
+    )
+    sha = lambda s: hashlib.sha1((s or "").encode()).hexdigest()
+    ident = lambda i: "<urn:page:%s>" % ("null" if i is None else i)
+    expected = []
+    for page_id, _, html in rows:
+        again = html == big and page_id != 5
+        expected.append((ident(page_id), "revisit" if again else "response", ident(5) if again else "", len((html or "").encode()), sha(html)))
+    assert found == sorted(expected)
+
+
+def test_no_pages(spark, tmp_path):
+    warc.write_warc(pages(spark, []), str(tmp_path / "w"))
+    assert read(spark, str(tmp_path / "w")) == []
+
+
+def test_archives_are_plain_gzip_members(spark, tmp_path):
+    warc.write_warc(pages(spark, [(1, "u", "a" * 50), (2, "u", "b" * 50)]).coalesce(1), str(tmp_path / "w"))
+    text = b"".join(gzip.open(p).read() for p in parts(tmp_path / "w"))
+    assert text.count(b"WARC/1.1\r\n") == 2 and text.endswith(b"\r\n\r\n")
+
+
+def test_a_member_of_16_mib_still_ends_in_zero():
+    member = warc._member(b"\0" * (1 << 24))
+    assert member[-1] == 0 and len(gzip.decompress(member)) == 1 << 24
+
+
+def record(i, payload=b"payload"):
+    return warc.record_bytes(i, "u", payload, None)
+
+
+def outcome(data):
+    return [(kind, at, n, x if kind == "gap" else x["record_id"]) for kind, at, n, x in warc.salvage(memoryview(data))]
+
+
+def test_salvage_of_damaged_members():
+    members = [warc._member(record(i, os.urandom(300))) for i in range(4)]
+    for hit in range(4):
+        damaged = [bytearray(m) for m in members]
+        damaged[hit][len(members[hit]) // 2] ^= 0xFF
+        found = outcome(b"".join(damaged))
+        start = sum(len(m) for m in members[:hit])
+        assert [x[3] for x in found if x[0] == "record"] == [warc.ID_FORMAT % i for i in range(4) if i != hit]
+        assert [(x[1], x[2]) for x in found if x[0] == "gap"] == [(start, len(members[hit]))]
+
+
+def test_salvage_of_plain_records_junk_and_cut_ends():
+    first, second = record(1), record(2)
+    longer = first.replace(b"Content-Length: 90", b"Content-Length: 91")
+    junk = b"\x1f\x8b\x08junk WARC/1.0\r\n\r\n"
+    data = junk + first + junk + second + first[:-10]
+    assert [x[0] for x in outcome(data)] == ["gap", "record", "gap", "record", "gap"]
+    assert sum(x[2] for x in outcome(data)) == len(data)
+    flipped = first.replace(b"payload\r", b"Payload\r")
+    assert outcome(flipped + second)[0][3] == "block digest differs"
+    assert [x[0] for x in outcome(longer + second)][-1] == "record"
+    assert outcome(b"") == [] and outcome(b"none")[0][:3] == ("gap", 0, 4)
+
+
+def test_any_damage_costs_only_what_it_touches(spark, tmp_path):
+    pick = random.Random(4)
+    made = [warc._member(record(i, pick.randbytes(pick.randrange(2000)))) for i in range(60)]
+    ends, at = [], 0
+    for m in made:
+        ends.append((at, at + len(m)))
+        at += len(m)
+    data = bytearray(b"".join(made))
+    hits = pick.sample(range(len(data)), 8)
+    for h in hits:
+        data[h] ^= 1 << pick.randrange(8)
+    (tmp_path / "a.warc").write_bytes(data)
+    archive = warc.read_warc(spark, str(tmp_path))
+    whole = {warc.ID_FORMAT % i for i, (a, b) in enumerate(ends) if not any(a <= h < b for h in hits)}
+    found = {r.record_id for r in warc.records(archive).collect()}
+    # A flipped bit of the gzip head (such as its time) may do no harm.
+    assert whole <= found
+    gaps = warc.gaps(archive).collect()
+    assert sum(r.length for r in gaps) + sum(r.length for r in warc.records(archive).collect()) == len(data)
