@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,14 +134,12 @@ def identify(docs: DataFrame, languages: list[str], logs: np.ndarray) -> DataFra
     docs = docs.drop("lang_pred", "score", "lang_set")
     model = logs.astype(np.float32)
 
-    def predict(batches):
-        import pandas as pd
-
-        for batches_of_text in batches:
-            found = [_predict(t, languages, model) for t in batches_of_text]
+    @F.pandas_udf("lang_pred string, score double, lang_set array<string>")
+    def judged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            found = [_predict(t, languages, model) for t in texts]
             yield pd.DataFrame(found, columns=["lang_pred", "score", "lang_set"])
 
-    judged = F.pandas_udf(predict, "lang_pred string, score double, lang_set array<string>", F.PandasUDFType.SCALAR_ITER)
     return docs.withColumn("_judged", judged("text")).select(*[F.col(f"`{c}`") for c in docs.columns], "_judged.*")
 
 

@@ -1,0 +1,73 @@
+import hashlib
+import random
+
+from eventfares.llm import lines
+
+SCHEMA = "doc_id bigint, text string, place int, chunk string, digest string, lines_removed string, _extra int"
+
+
+def chunks(text):
+    """Chunks of a text as `(first line, lines)`, by the rule of the docstring."""
+    parts, out, held, before = text.split("\n"), [], [], 0
+    for k, line in enumerate(parts):
+        held.append(line)
+        value = int(hashlib.md5(line.encode()).hexdigest()[:8], 16)
+        if (value + lines.STEP * before) % lines.DIVISOR == 0 or k == len(parts) - 1:
+            out.append(held)
+            held = []
+        before = value
+    return out
+
+
+def expected(rows):
+    seen = {}
+    for i, text in rows:
+        for place, chunk in enumerate(chunks(text) if text is not None else []):
+            if len(chunk) >= lines.MIN_LINES:
+                order = (i is None, i or 0, place)
+                key = "\n".join(chunk)
+                n, first = seen.get(key, (0, order))
+                seen[key] = n + 1, min(first, order)
+    out = []
+    for i, text in rows:
+        left, cut, gone = [], 0, 0
+        for place, chunk in enumerate(chunks(text) if text is not None else []):
+            n, first = seen.get("\n".join(chunk), (0, None))
+            if len(chunk) >= lines.MIN_LINES and n > 1 and first != (i is None, i or 0, place):
+                cut, gone = cut + 1, gone + len(chunk)
+            else:
+                left += chunk
+        out.append((i, None if text is None else "\n".join(left) if cut else text, cut, gone))
+    return sorted(out, key=str)
+
+
+def found(spark, rows):
+    docs = spark.createDataFrame([(i, t, 1, "c", "d", "e", 2) for i, t in rows], SCHEMA).drop("lines_removed")
+    got = lines.dedup_lines(docs)
+    assert got.columns == [*docs.columns, "chunks_removed", "lines_removed"]
+    return sorted([(r.doc_id, r.text, r.chunks_removed, r.lines_removed) for r in got.collect()], key=str)
+
+
+def test_against_brute_force(spark):
+    pick = random.Random(3)
+    blocks = ["\n".join(f"line {pick.randrange(1000)} of block {b}" for _ in range(8)) for b in range(3)]
+    rows = []
+    for i in range(40):
+        parts = [f"own line {pick.random()}" for _ in range(pick.randrange(4))]
+        parts.insert(pick.randrange(len(parts) + 1), pick.choice(blocks))
+        rows.append((i, "\n".join(parts)))
+    rows += [(50, None), (51, ""), (52, "\n\n\n"), (53, "\n\n\n"), (54, rows[0][1]), (None, rows[1][1]), (None, "é 😀\nx")]
+    rows += [(55, "\n".join(f"{k % 13}" for k in range(5000))), rows[2], (3, blocks[0] + "\n" + blocks[0])]
+    assert found(spark, rows) == expected(rows)
+    assert sum(r[2] for r in expected(rows)) > 40
+
+
+def test_empty(spark):
+    assert found(spark, []) == []
+
+
+def test_an_insertion_moves_only_neighbouring_boundaries():
+    text = [f"line {k}" for k in range(60)]
+    moved = [*text[:30], "inserted", *text[30:]]
+    before, after = ({tuple(c) for c in chunks("\n".join(t))} for t in (text, moved))
+    assert len(before - after) <= 2

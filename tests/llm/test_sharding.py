@@ -1,0 +1,73 @@
+import math
+import zlib
+from collections import Counter
+
+import xxhash
+from pyspark.sql import functions as F
+
+from eventfares.llm import sharding
+
+SCHEMA = "doc_id bigint, text string, size int, shard string, block int"
+
+
+def spark_hash(*values):
+    seed = 42
+    for v, width in values:
+        if v is not None:
+            seed = xxhash.xxh64_intdigest(v.to_bytes(width, "little", signed=True), seed)
+    return seed
+
+
+def place(doc_id, weights):
+    """The shard of the earliest draw; a region's or rack's is the earliest of its leaves."""
+
+    def draw(s):
+        bits = spark_hash((doc_id, 8), (s, 4)) >> 11
+        return -math.log((bits + 0.5) / 2**53) / weights[s]
+
+    return min((s for s in weights if weights[s] > 0), key=draw)
+
+
+def rows():
+    made = [(i, f"text {i % 5}" * (i % 9), 1, "x", 2) for i in range(600)]
+    return [*made, (None, None, 1, "x", 2), (None, "é😀", 1, "x", 2), (3, "", 1, "x", 2), (3, "", 1, "x", 2), (4, "z" * 100_000, 1, "x", 2)]
+
+
+def test_against_brute_force(spark):
+    found = sharding.shards(spark.createDataFrame(rows(), SCHEMA)).collect()
+    even = {s: 1.0 for s in range(40)}
+    grown = {s: 1.0 for s in range(41)}
+    expected = [
+        (i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode()), "key", place(i, even), place(i, grown))
+        for i, t, *_ in rows()
+    ]
+    got = [(r.doc_id, r.size, r.text_crc32, r.law, r.shard, r.grown_shard) for r in found]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+    assert all(r.grown_shard in (r.shard, 40) for r in found) and any(r.grown_shard == 40 for r in found)
+    for shard, n in Counter(r.shard for r in found).items():
+        assert sorted(r.slot for r in found if r.shard == shard) == list(range(n))
+
+
+def test_slots_have_no_gaps_over_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BLOCK_ROWS", 1)
+    found = sharding.shards(spark.createDataFrame(rows(), SCHEMA), 3).collect()
+    for shard in range(3):
+        slots = sorted(r.slot for r in found if r.shard == shard)
+        assert slots == list(range(len(slots)))
+
+
+def test_a_weight_moves_rows_into_and_out_of_its_own_leaf_only(spark):
+    keys = spark.range(3000).withColumn("id", F.col("id"))
+
+    def placed(weights):
+        shard = sharding.shard_of(F.col("id"), sharding.tree(12, weights))
+        return {r.id: r.shard for r in keys.select("id", shard.alias("shard")).collect()}
+
+    before, heavier, gone = placed({}), placed({4: 3.0}), placed({4: 0.0})
+    assert all(before[i] == s or s == 4 for i, s in heavier.items())
+    assert all(before[i] == s or before[i] == 4 for i, s in gone.items()) and 4 not in gone.values()
+    assert 2 < Counter(heavier.values())[4] / (3000 / 14) < 4
+
+
+def test_empty(spark):
+    assert sharding.shards(spark.createDataFrame([], SCHEMA)).count() == 0
