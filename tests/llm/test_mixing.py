@@ -1,0 +1,71 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from eventfares.llm import mixing
+from eventfares.settings import keep
+
+DOCS = "doc_id bigint, text string, rate string, quality int"
+WORDS = {"good": "alpha beta gamma delta", "poor": "spam junk noise blah", "toxic": "curse hate slur insult"}
+
+
+def corpus(spark):
+    pick = np.random.default_rng(1)
+    rows, labels = [], []
+    for i in range(300):
+        domain = ["good", "good", "good", "poor", "toxic"][i % 5]
+        own, other = WORDS[domain].split(), " ".join(WORDS.values()).split()
+        words = [str(pick.choice(own if pick.random() < 0.7 else other)) for _ in range(pick.integers(5, 60))]
+        rows.append((i, " ".join(words), "x", 7))
+        if i % 2:
+            labels.append((i, int(domain != "poor"), int(domain == "toxic"), "text"))
+    rows += [(300, None, "x", 7), (301, "", "x", 7), (302, " \n", "x", 7), (None, "alpha", "x", 7), (5, rows[5][1], "x", 7)]
+    rows.append((303, "alpha " * 100_000, "x", 7))
+    labels += [(None, 1, 0, "t"), (9999, 1, 0, "t"), (7, None, None, "t"), (1, 0, 1, "t")]
+    return spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int, text string")
+
+
+def test_domain_totals_match_the_target(spark):
+    docs, labels = corpus(spark)
+    mixed = mixing.mix(docs, labels)
+    rows = mixed.collect()
+    assert len(rows) == docs.count() and {"n_tokens", "membership", "rate"} <= set(mixed.columns)
+    members, n = np.array([r.membership for r in rows]), np.array([r.n_tokens for r in rows])
+    rate = np.array([r.rate for r in rows])
+    assert np.allclose(members.sum(axis=1), 1) and (rate >= 0).all()
+    target = np.array([mixing.TARGET[d] for d in sorted(mixing.TARGET)])
+    assert np.allclose((rate * n) @ members / n.sum(), target, atol=1e-4)
+    assert {r.rate for r in rows if not r.n_tokens} == {1.0}
+    assert next(r for r in rows if r.doc_id == 303).n_tokens == 100_000
+
+
+def test_rates_reach_what_brute_force_does(spark):
+    pick = np.random.default_rng(2)
+    n, members = pick.integers(1, 50, 200), pick.dirichlet([0.5, 0.5, 0.5], 200)
+    table = keep(spark.createDataFrame([(int(a), m.tolist()) for a, m in zip(n, members)], "n_tokens bigint, membership array<double>"), "m")
+    for target in ([0.2, 0.3, 0.5], [1.0, 0.0, 0.0], [0.9, 0.05, 0.05]):
+        rate, found = mixing.fit_rates(table, np.array(target))
+        # Plain projected gradient steps, many of them, for the least distance there is.
+        part, goal = n[:, None] * members, np.array(target) * n.sum()
+        r = np.ones(200)
+        step = 1 / np.linalg.eigvalsh(part.T @ part).max()
+        for _ in range(20_000):
+            r = np.maximum(0, r - step * part @ (part.T @ r - goal))
+        least = np.linalg.norm(part.T @ r - goal) / np.linalg.norm(goal)
+        assert found["distance"] <= least + 0.02
+        rates = np.array([x.r for x in table.select(rate.alias("r"), "n_tokens").collect()])
+        assert (rates >= 0).all()
+
+
+def test_draws_are_as_often_as_the_rate(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), (F.col("id") % 5 / 2).alias("rate"))
+    drawn = mixing.draw(docs, ["doc_id", "text"])
+    assert drawn.columns == ["doc_id", "text"] and sorted(drawn.collect()) == sorted(mixing.draw(docs, ["doc_id", "text"]).collect())
+    counts = {r.k: r.n for r in drawn.groupBy((F.col("doc_id") % 5).alias("k")).agg(F.count("*").alias("n")).collect()}
+    assert 0 not in counts and counts[2] == 800 and counts[4] == 1600 and abs(counts[1] - 400) < 80
+
+
+def test_without_labels_and_without_documents(spark):
+    docs, labels = corpus(spark)
+    none = mixing.mix(docs, labels.where("false")).collect()
+    assert all(np.allclose(r.membership, 1 / 3) for r in none)
+    assert mixing.mix(docs.where("false"), labels).count() == 0
