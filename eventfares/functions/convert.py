@@ -35,7 +35,8 @@ def to_date(value: Column) -> Column:
 
 
 def to_instant(value: Column) -> Column:
-    """A date and time in any ISO spelling, with or without an offset."""
+    """A date and time in any ISO spelling, with or without an offset: `2018-11-16T20:00:00+0100`,
+    `2018-11-16 20:00`, `2018-11-16`. Others are failures, see `failures`."""
     return F.try_to_timestamp(value)
 
 
@@ -61,11 +62,41 @@ def columns(model: tuple[Field, ...], record: Column | None = None) -> list[Colu
     return [_column(field, record).alias(field.name) for field in model]
 
 
-def _column(field: Field, record: Column | None) -> Column:
+def failures(model: tuple[Field, ...], record: Column | None = None, prefix: str = "") -> Column:
+    """Names, with dots, of the model's fields that had a value which did not convert, as an array."""
+    found = [
+        F.array(*[
+            F.when(value.isNotNull() & _CONVERSIONS[field.kind](value).isNull(), f"{prefix}{field.name}")
+            for field in model
+            if field.kind in _CONVERSIONS
+            for value in [_source(field, record)]
+        ])
+    ]
+    for field in model:
+        if field.model:
+            value, inside = _source(field, record), f"{prefix}{field.name}."
+            if field.kind == "list":
+                each = _failures_in_list(field.model, value, inside)
+            else:
+                each = F.when(value.isNotNull(), failures(field.model, value, inside))
+            found.append(F.coalesce(each, F.array().cast("array<string>")))
+    return F.array_distinct(F.array_compact(F.concat(*found)))
+
+
+def _failures_in_list(model: tuple[Field, ...], value: Column, prefix: str) -> Column:
+    return F.flatten(F.transform(value, lambda item: failures(model, item, prefix)))
+
+
+def _source(field: Field, record: Column | None) -> Column:
     first, *rest = (field.path or field.name).split(PATH_MARK)
     value = F.col(first) if record is None else record[first]
     for step in rest:
         value = value[step]
+    return value
+
+
+def _column(field: Field, record: Column | None) -> Column:
+    value = _source(field, record)
     if field.kind == "list":
         return _list(field, value)
     if field.kind == "object":

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventfares.functions.convert import Field, columns, to_date
+from eventfares.functions.convert import Field, columns, failures, to_date
 from eventfares.functions.scalars import city_name
 
 # The columns of events and setlists, and the page fields they come from.
@@ -75,9 +75,15 @@ SETLIST_MODEL = (
 ACTIVE = "ok"
 
 
-def flatten(records: DataFrame, model: tuple[Field, ...], *also: str) -> DataFrame:
-    """The model's columns, typed and completed, with the columns in `also` carried along."""
-    return records.select(*also, *columns(model))
+def flatten(
+    records: DataFrame, model: tuple[Field, ...], *also: str, failed: str | None = None
+) -> DataFrame:
+    """The model's columns, typed and completed, with the columns in `also` carried along.
+
+    `failed` names one more column: the fields that had a value which did not convert, and are null.
+    """
+    marks = [failures(model).alias(failed)] if failed else []
+    return records.select(*also, *columns(model), *marks)
 
 
 def search(

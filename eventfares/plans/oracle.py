@@ -251,6 +251,9 @@ FROM page_events""",
     + """SELECT 'none' AS reason, count(*) AS n FROM page_events
 UNION ALL SELECT 'malformed', count(*) FROM documents
 UNION ALL SELECT 'no event list', count(*) FROM documents""",
+    "unconverted": _with(PAGE_EVENTS)
+    + """SELECT CASE WHEN o_orderstatus <> 'O' THEN 'event_start.time' ELSE '' END AS failed, count(*) AS n
+FROM page_events GROUP BY ALL""",
     "page_items": _with(PAGE_EVENTS)
     + """SELECT 'event' AS kind, CASE WHEN n_nationkey % 10 IN (3, 6, 9) THEN 'bad event' ELSE 'none' END AS reason,
        count(*) AS n, CAST(sum(id) AS BIGINT) AS ids

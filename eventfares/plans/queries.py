@@ -396,6 +396,15 @@ def event_pages(spark, sf_dir):
     )
 
 
+def unconverted(spark, sf_dir):
+    """Events whose times are not times of day, by the fields that did not convert."""
+    bodies = tables.event_bodies(spark, sf_dir).select(
+        F.regexp_replace("body", '"time":"20:00:00"', '"time":"8pm"').alias("body")
+    )
+    flat = events.flatten(_write_pages(spark, bodies)[0], events.EVENT_MODEL, failed="failed")
+    return flat.groupBy(F.array_join("failed", ",").alias("failed")).agg(F.count("*").alias("n"))
+
+
 def page_rejects(spark, sf_dir):
     """Event pages among prose, and among JSON that is no page."""
     text = F.regexp_replace("text", r"\s", " ")
@@ -614,6 +623,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         event_pages,
         page_rejects,
         page_items,
+        unconverted,
         event_search,
         concert_feed,
         active_events,

@@ -3,13 +3,14 @@
 import datetime as dt
 import random
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from eventfares.functions.scalars import in_window
 from eventfares.operators.aggs import event_fare_avg
-from eventfares.operators.joins import city_totals, event_flights_window
+from eventfares.operators.joins import city_totals, event_flights_window, fares_by_event_date
 
 from .conftest import CONCERTS, FLIGHTS, day
 
@@ -51,6 +52,16 @@ def test_two_concerts_on_one_key_count_each_fare_twice(make_concerts, make_fligh
     assert averages(event_fare_avg(concerts, flights)) == {("Dublin", day("2018-11-16")): (20.0, 4)}
 
 
+@pytest.mark.parametrize("days", [0, 1])
+def test_short_windows(make_concerts, make_flights, days):
+    concerts = make_concerts((1, "2018-11-16", "Dublin"), (2, "2018-11-16", "Dublin"))
+    flights = make_flights(*[("P", "Dublin", f"2018-11-{d}", 10) for d in (14, 15, 16, 17)])
+    assert [r.n for r in event_fare_avg(concerts, flights, days=days).collect()] == [2] * days
+    assert event_flights_window(concerts, flights, days=days).count() == 2 * days
+    weighted = fares_by_event_date(concerts, flights, days=days).collect()
+    assert [(r.n_concerts, r.flight_date) for r in weighted] == [(2, day("2018-11-15"))] * days
+
+
 def test_keys_without_a_match_are_absent(make_concerts, make_flights):
     concerts = make_concerts((1, "2018-11-16", "Rome"), (2, "2019-11-16", "Dublin"))
     assert averages(event_fare_avg(concerts, make_flights(*EDGES))) == {}

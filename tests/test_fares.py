@@ -89,6 +89,31 @@ def test_cap_and_over_cap(make_flights, bases):
     assert rows(fares.cap(flights, bases), "capped_price") == [(150.0,), (200.0,), (200.0,)]
 
 
+def test_fares_without_a_base_survive(make_flights, bases):
+    flights = make_flights(("P", "D", D1, 150), ("X", "Y", D1, 9), ("X", "Y", D2, 10))
+    assert rows(fares.cap(flights, bases), "start_city", "capped_price") == [("P", 150.0), ("X", 9.0), ("X", 10.0)]
+    assert [r.scaled_price for r in fares.rescale(flights, bases).where("start_city = 'X'").collect()] == [None, None]
+    assert rows(fares.over_cap(flights, bases), "start_city") == []
+
+
+def test_ids_without_a_name_survive(spark):
+    cells = spark.createDataFrame([(0, 5.0), (9, 6.0), (None, 7.0)], "i int, price double")
+    names = spark.createDataFrame([(0, "P")], "id int, name string")
+    named = fares.decode_ids(cells, names, "i", "city")
+    assert sorted((r.price, r.city) for r in named.collect()) == [(5.0, "P"), (6.0, None), (7.0, None)]
+
+
+@pytest.mark.parametrize("days", [0, 1])
+def test_short_horizons(spark, days):
+    start = spark.createDataFrame([("r", day(D1))], "route string, first date")
+    assert fares.date_spine(start, F.col("first"), F.lit(days)).count() == days
+
+
+def test_of_fares_that_arrived_together_the_highest_counts(make_flights):
+    flights = make_flights(("P", "D", D1, 3), ("P", "D", D1, 8), ("P", "D", D1, 5)).withColumn("arrival", F.lit(1))
+    assert rows(fares.latest(flights, "arrival"), "price") == [(8.0,)]
+
+
 def test_diff_shows_changed_new_and_dropped_cells(make_flights):
     old = make_flights(("P", "D", D1, 1), ("P", "D", D2, 2), ("P", "D", D3, 3))
     new = make_flights(("P", "D", D1, 1), ("P", "D", D2, 9), ("P", "R", D1, 4))

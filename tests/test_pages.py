@@ -59,6 +59,39 @@ def test_pages_become_one_row_per_event(read):
     assert ids(good) == [1, 2, 3] and bad.count() == 0
 
 
+def test_an_unfit_event_leaves_the_rest_of_its_page(read):
+    odd = event(2, venue={"id": "x9"})
+    good, bad = read(page(event(1), odd, event(3), "text", None))
+    assert ids(good) == [1, 3]
+    set_aside = bad.collect()
+    assert {r.reason for r in set_aside} == {"bad event"} and len(set_aside) == 3
+    assert [json.loads(r.body)["id"] for r in set_aside if (r.body or "")[:1] == "{"] == [2]
+
+
+def test_an_unfit_setlist_leaves_the_rest_of_its_page(spark):
+    sets = [{"id": i, "setlistItem": [{"name": "a", "encore": e}]} for i, e in ((1, 0), (2, True), (3, 1))]
+    good, bad = pages.setlist_pages(spark.createDataFrame([(page(*sets, enclosure="setlist"),)], "body string"))
+    assert ids(good) == [1, 3] and [r.reason for r in bad.collect()] == ["bad setlist"]
+
+
+def test_values_that_do_not_convert_are_named(read):
+    start = {"date": "soon", "time": "8pm", "datetime": "Friday night"}
+    good, _ = read(page(event(1, start=start), event(2)))
+    flat = events.flatten(good, events.EVENT_MODEL, failed="failed").orderBy("id").collect()
+    assert [sorted(r.failed) for r in flat] == [["event_start.date", "event_start.datetime", "event_start.time"], []]
+
+
+def test_null_ids_come_last(spark):
+    sets = spark.createDataFrame([(7, None, "x"), (7, 5, "y"), (8, None, "z")], "event_id bigint, id bigint, displayName string")
+    assert events.first_setlist(sets, 7).first().id == 5
+    assert sorted((r.event_id, r.id) for r in events.first_setlists(sets).collect()) == [(7, 5), (8, None)]
+
+
+def test_past_events_by_musicbrainz_id(read):
+    good, _ = read(page(event(1), event(2, date="2019-01-01"), event(3, artists=("B",))))
+    assert ids(events.gigography_by_mbid(good, "mbid-Artist A", "2018-12-01")) == [1]
+
+
 def test_bad_pages_are_rejected_with_their_reason(read):
     wrong = json.dumps({"resultsPage": {"status": "error"}})
     other = page({"id": 1}, enclosure="setlist")
