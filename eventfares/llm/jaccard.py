@@ -169,6 +169,9 @@ def _send_block(block: int, ids: list, texts: list, parts: int):
 
     yield batch_of(_SENT, [block % parts], [block], [TABLE], [pickle.dumps(table)], [b""], [b""])
     keys, counts = keys[starts], np.minimum(counts, 255).astype(np.uint8)
+    # Within a part by sender, so that senders take next to no room (see `_pack_sorted`).
+    order = np.lexsort((sender, keys >> _32))
+    keys, sender, counts = keys[order], sender[order], counts[order]
     at = np.searchsorted(keys >> _32, np.arange(parts + 1))
     low = keys.astype("<u4")
     used = np.nonzero(np.diff(at))[0]
@@ -181,11 +184,22 @@ def _send_block(block: int, ids: list, texts: list, parts: int):
             [block] * len(some),
             [ENTRIES] * len(some),
             [low[s].tobytes() for s in cut],
-            [sender[s].tobytes() for s in cut],
+            [_pack_sorted(sender[s]) for s in cut],
             [counts[s].tobytes() for s in cut],
         )
 
 
+def _pack_sorted(values: np.ndarray) -> bytes:
+    """Steps between sorted numbers, all low bytes first, which leaves little to a compressor."""
+    steps = np.diff(values.astype(np.int64), prepend=0).astype("<u4")
+    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpack_sorted(data: bytes) -> np.ndarray:
+    steps = np.frombuffer(data, np.uint8).reshape(4, -1).T
+    return np.cumsum(np.ascontiguousarray(steps).view("<u4").ravel(), dtype=np.int64)
+
+
 def _answer(table: pa.Table) -> pa.Table:
     """For each block, those of its shingles that are met more than once, and how common they are."""
     rows = table.to_pydict()
@@ -210,8 +224,8 @@ def _answer(table: pa.Table) -> pa.Table:
             at += len(own)
             shared = mine > 0
             if shared.any():
-                sender = np.frombuffer(rows["b"][r], "<u4")
-                values = (rows["part"][r], rows["block"][r], ENTRIES, own[shared].tobytes(), sender[shared].tobytes(), mine[shared].tobytes())
+                sender = _pack_sorted(_unpack_sorted(rows["b"][r])[shared])
+                values = (rows["part"][r], rows["block"][r], ENTRIES, own[shared].tobytes(), sender, mine[shared].tobytes())
                 for c, v in zip(_SENT.names, values, strict=True):
                     result[c].append(v)
     return pa.table(result, schema=_SENT)
@@ -225,7 +239,7 @@ def _choose(table: pa.Table) -> pa.Table:
     empty = np.zeros(0, np.int64)
     low = np.concatenate([empty, *(np.frombuffer(rows["a"][r], "<u4").astype(np.int64) for r in entries)])
     part = np.concatenate([empty, *(np.full(len(rows["c"][r]), rows["part"][r]) for r in entries)])
-    sender = np.concatenate([empty, *(np.frombuffer(rows["b"][r], "<u4").astype(np.int64) for r in entries)])
+    sender = np.concatenate([empty, *(_unpack_sorted(rows["b"][r]) for r in entries)])
     code = np.concatenate([empty, *(np.frombuffer(rows["c"][r], np.uint8).astype(np.int64) for r in entries)])
     key = (part << 32) | low
 
@@ -287,7 +301,9 @@ def _tile_links(docs: DataFrame, reps: DataFrame, clusters: DataFrame) -> DataFr
         F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("salt"),
     )
     columns = ["doc_id", "text", "set_id", "cluster", "bin", "band", "salt"]
-    hashed = keep(map_arrow(docs.join(placed, "doc_id").select(*columns), _hash, _HASHED), "tile-sets")
+    # Hashed, not sorted: the texts are the large side, and ids on the other are unique.
+    texts = docs.join(placed.hint("shuffle_hash"), "doc_id").select(*columns)
+    hashed = keep(map_arrow(texts, _hash, _HASHED), "tile-sets")
 
     binned = hashed.where("bin is not null").groupBy("bin").applyInArrow(_compare_bin, "a bigint, b bigint")
     packed = hashed.where("bin is null").groupBy("cluster", "band", "salt").applyInArrow(
