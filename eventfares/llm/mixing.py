@@ -98,13 +98,15 @@ def fit_rates(members: DataFrame, target: np.ndarray, rounds: int = ROUNDS) -> t
 
     Rates r >= 0 start at 1 and minimise the distance of the expected tokens of each domain,
     `sum(r * n_tokens * membership)`, from `target` times all tokens, by projected gradient steps.
-    Gradients are taken in the inverse of the second moments of the rows whose rates are above 0,
-    in which a full step would fit at once if it took no rate to 0. A rate is a function of its row
-    and of one vector per step, so a step is one pass that leaves a few sums, and those are all that
-    reaches the driver. The rates of the closest step are the result.
+    Gradients are scaled by the length of a row, so that rates follow memberships alone, and taken in
+    the inverse of the second moments of the rows whose rates are above 0, in which a full step
+    would fit at once if it took no rate to 0. A rate is a function of its row and of one vector per
+    step, so a step is one pass that leaves a few sums, and those are all that reaches the driver.
+    The rates of the closest step are the result. A row without tokens keeps 1.
     """
     d = len(target)
-    part = [F.col("n_tokens") * F.get("membership", F.lit(k)) for k in range(d)]
+    share = [F.get("membership", F.lit(k)) for k in range(d)]
+    part = [F.col("n_tokens") * p for p in share]
     pairs = [(i, j) for i in range(d) for j in range(i, d)]
     steps, rate, best = 0, F.lit(1.0), None
     while True:
@@ -112,7 +114,7 @@ def fit_rates(members: DataFrame, target: np.ndarray, rounds: int = ROUNDS) -> t
         sums = members.agg(
             F.sum(F.lit(1.0) * F.col("n_tokens")).alias("n"),
             *[F.sum(rate * part[k]).alias(f"t{k}") for k in range(d)],
-            *[F.sum(moves * part[i] * part[j]).alias(f"s{i}_{j}") for i, j in pairs],
+            *[F.sum(moves * part[i] * share[j]).alias(f"s{i}_{j}") for i, j in pairs],
         ).first()
         total = sums["n"]
         if not total:
@@ -121,16 +123,17 @@ def fit_rates(members: DataFrame, target: np.ndarray, rounds: int = ROUNDS) -> t
         missing = np.array([sums[f"t{k}"] for k in range(d)]) - goal
         distance = float(np.linalg.norm(missing) / np.linalg.norm(goal))
         if best is None or distance < best[1]["distance"]:
-            best = rate, {"steps": steps, "distance": distance}
+            kept = F.when(F.col("n_tokens") > 0, rate).otherwise(F.lit(1.0))
+            best = kept, {"steps": steps, "distance": distance}
         if distance < CLOSE or steps == rounds:
             return best
         moments = np.zeros((d, d))
         for i, j in pairs:
             moments[i, j] = moments[j, i] = sums[f"s{i}_{j}"]
         step = np.linalg.pinv(moments, rcond=1e-9, hermitian=True) @ missing
-        change = part[0] * float(step[0])
+        change = share[0] * float(step[0])
         for k in range(1, d):
-            change = change + part[k] * float(step[k])
+            change = change + share[k] * float(step[k])
         rate, steps = F.greatest(F.lit(0.0), rate - change), steps + 1
 
 
