@@ -21,7 +21,8 @@ def concerts_from(
     last: date | str = SEARCH_TO,
 ) -> DataFrame:
     """Concerts of the listed artists in the listed cities, numbered by list entry, then date."""
-    found = in_cities(search(events, artists, first, last), cities, F.col("location.city"))
+    # By city first: the search makes a row of every performer.
+    found = search(in_cities(events, cities, F.col("location.city")), artists, first, last)
     rows = to_concerts(found, "list_position", "id")
     return concert_snapshot(number_rows(rows, "list_position", "event_date", "id"))
 
