@@ -32,7 +32,8 @@ SHARED, WHOLE = 75, 100
 PART_SHINGLES = 1_000_000
 BLOCK_BYTES = 4 << 20
 TILE_SHINGLES = 300_000
-TILE_DOCS = 2000
+TILE_DOCS = 1000
+PAIRS_AT_ONCE = 50_000
 MAX_BITS = 1 << 16
 
 ENTRIES, TABLE = 0, 1
@@ -380,7 +381,7 @@ def forest(reps: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None = N
     reps, sets = reps[order], [sets[i] for i in order]
     side = None if side is None else side[order]
     sizes = np.array([len(s) for s in sets], np.int64)
-    pairs = _bounded_pairs(sizes, _bitmaps(sets, sizes), side)
+    left, right = _bounded_pairs(sizes, _bitmaps(sets, sizes), side)
     root = list(range(len(sets)))
 
     def top(i: int) -> int:
@@ -390,15 +391,19 @@ def forest(reps: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None = N
         return i
 
     found = []
-    for i, j in pairs:
-        a, b = top(i), top(j)
-        if a == b:
-            continue
-        shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-        if WHOLE * shared >= SHARED * (len(sets[i]) + len(sets[j]) - shared):
-            root[max(a, b)] = min(a, b)
-            if reps[i] != reps[j]:
-                found.append((int(reps[i]), int(reps[j])))
+    for start in range(0, len(left), PAIRS_AT_ONCE):
+        some = slice(start, start + PAIRS_AT_ONCE)
+        tops = np.array([top(i) for i in range(len(sets))])
+        apart = tops[left[some]] != tops[right[some]]
+        for i, j in zip(left[some][apart].tolist(), right[some][apart].tolist(), strict=True):
+            a, b = top(i), top(j)
+            if a == b:
+                continue
+            shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if WHOLE * shared >= SHARED * (len(sets[i]) + len(sets[j]) - shared):
+                root[max(a, b)] = min(a, b)
+                if reps[i] != reps[j]:
+                    found.append((int(reps[i]), int(reps[j])))
     return found
 
 
@@ -412,7 +417,7 @@ def _bitmaps(sets: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
     return maps.view(np.uint64)
 
 
-def _bounded_pairs(sizes: np.ndarray, maps: np.ndarray, side) -> list[tuple[int, int]]:
+def _bounded_pairs(sizes: np.ndarray, maps: np.ndarray, side) -> tuple[np.ndarray, np.ndarray]:
     """Pairs in size order that may be alike enough, the most alike first.
 
     A bit that one map has and the other lacks is a shingle, at least, that they do not share.
@@ -430,13 +435,12 @@ def _bounded_pairs(sizes: np.ndarray, maps: np.ndarray, side) -> list[tuple[int,
         most = np.minimum(sizes[i] - (held[i] - both), sizes[j] - (held[j] - both))
         union = sizes[i] + sizes[j] - most
         near = WHOLE * most >= SHARED * union
-        left.append(np.full(near.sum(), i))
-        right.append(j[near])
-        score.append(most[near] / union[near])
-    if not left:
-        return []
-    order = np.argsort(-np.concatenate(score), kind="stable")
-    return list(zip(np.concatenate(left)[order].tolist(), np.concatenate(right)[order].tolist(), strict=True))
+        left.append(np.full(near.sum(), i, np.int32))
+        right.append(j[near].astype(np.int32))
+        score.append((most[near] / union[near]).astype(np.float32))
+    empty = np.zeros(0, np.int32)
+    order = np.argsort(-np.concatenate([empty.astype(np.float32), *score]), kind="stable")
+    return np.concatenate([empty, *left])[order], np.concatenate([empty, *right])[order]
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -109,7 +109,8 @@ def test_bitmaps_never_underestimate():
     sizes = np.array([len(s) for s in sets])
     order = np.argsort(sizes, kind="stable")
     sets, sizes = [sets[i] for i in order], sizes[order]
-    pairs = set(jaccard._bounded_pairs(sizes, jaccard._bitmaps(sets, sizes), None))
+    left, right = jaccard._bounded_pairs(sizes, jaccard._bitmaps(sets, sizes), None)
+    pairs = set(zip(left.tolist(), right.tolist()))
     for i in range(60):
         for j in range(i + 1, 60):
             shared = len(np.intersect1d(sets[i], sets[j]))
