@@ -1,4 +1,4 @@
-"""Line dedup by content-defined chunks of lines."""
+"""Line dedup by content-defined chunks of lines, and by runs of adjacent lines."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from eventfares.settings import keep
 DIVISOR = 3  # lines in a chunk, on average
 MIN_LINES = 2
 STEP = 31
+LONG_WORDS = 50  # a single line of more words is a passage of its own
 ORDER = "decimal(38,0)"
 
 
@@ -58,6 +59,62 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
 
 
+def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """`docs` with its text rid of repeated passages, and `lines_removed`.
+
+    Lines end at a line feed. Every two adjacent lines are a passage, and so is every line of more
+    than `LONG_WORDS` words, which are runs of characters other than the space. Of passages that are
+    equal byte for byte (by SHA-256), wherever they are, the one at the smallest (id, line) is the
+    first, and the lines of all others go. So a run of two lines or more that occurs before goes as
+    a whole, however long and wherever it starts, and a text of such lines becomes empty. Every
+    line that goes is left where it is at its smallest place among those passages. Nulls, empty
+    texts, null and repeated ids and other columns are treated as by `dedup_lines`.
+    """
+    rows = docs.withColumns(
+        {"_id": F.col(doc_id).cast("bigint"), "_text": F.col(text), "_hash": F.xxhash64(text)}
+    )
+    marks = keep(_passages(rows.select("_id", "_text", "_hash")), "passages")
+    repeated = marks.groupBy("digest").agg(F.count("*").alias("n"), F.min("order").alias("first")).where("n > 1")
+    # Both lines of a pair go, or the one of a long line.
+    spans = marks.join(keep(repeated.select("digest", "first"), "repeated-passages"), "digest").where("order <> first")
+    gone = (
+        spans.select("_id", "_hash", F.explode(F.sequence("place", F.col("place") + F.col("more"))).alias("place"))
+        .groupBy(F.col("_id").alias("g_id"), F.col("_hash").alias("g_hash"))
+        .agg(F.collect_set("place").alias("_gone"))
+    )
+    same = F.col("_id").eqNullSafe(F.col("g_id")) & (F.col("_hash") == F.col("g_hash"))
+    found = rows.join(gone, same, "left")
+    touched = F.col("_gone").isNotNull()
+    parts = F.split("_text", "\n", -1)
+    found = found.select("*", F.explode(F.array(F.when(touched, parts))).alias("_lines"))
+    places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")
+    left = F.when(touched, F.array_join(F.transform(places, lambda p: F.get("_lines", p)), "\n"))
+    return found.select(
+        *[F.coalesce(left, "_text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns],
+        F.when(touched, F.size("_gone")).otherwise(0).cast("bigint").alias("lines_removed"),
+    )
+
+
+def _passages(rows: DataFrame) -> DataFrame:
+    """Pairs of adjacent lines and single long lines: `_id, _hash, place, more, order, digest`."""
+    lined = rows.where("_text is not null").select("_id", "_hash", F.explode(F.array(F.split("_text", "\n", -1))).alias("lines"))
+    placed = lined.select("_id", "_hash", "lines", F.posexplode("lines").alias("place", "line"))
+    after = F.get("lines", F.col("place") + 1)
+    pair = F.when(after.isNotNull(), F.concat("line", F.lit("\n"), after))
+    # Fewer characters cannot be so many words.
+    long = F.when((F.char_length("line") > 2 * LONG_WORDS) & (F.regexp_count("line", F.lit("[^ ]+")) > LONG_WORDS), F.col("line"))
+    passages = placed.select("_id", "_hash", "place", F.posexplode(F.array(long, pair)).alias("more", "passage"))
+    order = _order(F.col("_id"), F.col("place"))
+    digest = F.unhex(F.sha2("passage", 256)).alias("digest")
+    return passages.where("passage is not null").select("_id", "_hash", "place", "more", order.alias("order"), digest)
+
+
+def _order(doc_id: Column, place: Column) -> Column:
+    """The order of (id, place) as one number of fixed width."""
+    ranked = F.coalesce(doc_id.cast(ORDER), F.lit(str(1 << 63)).cast(ORDER))
+    return (ranked * F.lit(str(1 << 32)).cast("decimal(10,0)") + place).cast(ORDER)
+
+
 def _line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(F.encode(line, "UTF-8")), 1, 8), 16, 10).cast("bigint")
 
@@ -83,13 +140,11 @@ def _chunks(rows: DataFrame) -> DataFrame:
     spans = ended.select("_id", "_hash", "lines", "ends", F.posexplode("ends").alias("place", "end"))
     start = F.coalesce(F.get("ends", F.col("place") - 1), F.lit(0))
     long = spans.withColumn("n_lines", F.col("end") - start).where(F.col("n_lines") >= MIN_LINES)
-    # The order of (id, place) as one number of fixed width.
-    order = F.coalesce(F.col("_id").cast(ORDER), F.lit(str(1 << 63)).cast(ORDER)) * F.lit(str(1 << 32)).cast("decimal(10,0)") + F.col("place")
     return long.select(
         "_id",
         "_hash",
         "place",
-        order.cast(ORDER).alias("order"),
+        _order(F.col("_id"), F.col("place")).alias("order"),
         "n_lines",
         F.array_join(F.slice("lines", F.col("end") - F.col("n_lines") + 1, F.col("n_lines")), "\n").alias("chunk"),
     )
@@ -123,6 +178,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs)
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return dedup_passages(docs)
+
+
 OP9_SQL = """
 WITH l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
@@ -147,3 +207,26 @@ SELECT doc_id, CASE WHEN documents.text IS NULL THEN NULL ELSE d.text END AS tex
   coalesce(chunks_removed, 0) AS chunks_removed, coalesce(lines_removed, 0) AS lines_removed
 FROM documents LEFT JOIN d USING (doc_id)
 """
+
+OP9_PASSAGES_SQL = """
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM documents
+), n AS (
+  SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS after FROM l
+), p AS (
+  SELECT doc_id, i, i + 1 AS last, line || chr(10) || after AS passage FROM n WHERE after IS NOT NULL
+  UNION ALL
+  SELECT doc_id, i, i AS last, line AS passage FROM n WHERE len(regexp_extract_all(line, '[^ ]+')) > 50
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY passage ORDER BY doc_id, i) > 1 AS again FROM p
+), g AS (
+  SELECT doc_id, i FROM r WHERE again UNION SELECT doc_id, last FROM r WHERE again
+), d AS (
+  SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE g.i IS NULL), '') AS text, count(g.i) AS lines_removed
+  FROM l LEFT JOIN g USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CASE WHEN documents.text IS NULL THEN NULL ELSE d.text END AS text,
+  coalesce(lines_removed, 0) AS lines_removed
+FROM documents LEFT JOIN d USING (doc_id)
+"""

@@ -1,0 +1,86 @@
+import random
+
+import __spark_entry__ as entry_points
+from eventfares.llm import lines
+
+from .. import compare
+from .test_queries import SMALL
+
+SCHEMA = "doc_id bigint, text string, place int, digest string, _extra int"
+
+
+def passages(text):
+    parts = text.split("\n")
+    out = [(k, (k, k + 1), tuple(parts[k : k + 2])) for k in range(len(parts) - 1)]
+    return out + [(k, (k,), x) for k, x in enumerate(parts) if len([w for w in x.split(" ") if w]) > lines.LONG_WORDS]
+
+
+def expected(rows):
+    first = {}
+    for i, text in rows:
+        for place, _, passage in passages(text) if text is not None else []:
+            order = (i is None, i or 0, place)
+            first[passage] = min(first.get(passage, order), order)
+    out = []
+    for i, text in rows:
+        found = passages(text) if text is not None else []
+        gone = {k for place, at, passage in found for k in at if first[passage] != (i is None, i or 0, place)}
+        left = text if not gone else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone)
+        out.append((i, left, len(gone)))
+    return sorted(out, key=str)
+
+
+def found(spark, rows):
+    docs = spark.createDataFrame([(i, t, 1, "d", 2) for i, t in rows], SCHEMA)
+    got = lines.dedup_passages(docs)
+    assert got.columns == [*docs.columns, "lines_removed"]
+    return sorted([(r.doc_id, r.text, r.lines_removed) for r in got.collect()], key=str)
+
+
+def test_against_brute_force(spark):
+    pick = random.Random(3)
+    blocks = ["\n".join(f"line {pick.randrange(1000)} of block {b}" for _ in range(8)) for b in range(3)]
+    long = " ".join(f"w{k}" for k in range(51))
+    rows = []
+    for i in range(40):
+        parts = [f"own line {pick.random()}" for _ in range(pick.randrange(4))]
+        parts.insert(pick.randrange(len(parts) + 1), pick.choice([*blocks, long, long[4:]]))
+        rows.append((i, "\n".join(parts)))
+    rows += [(50, None), (51, ""), (52, "\n\n\n"), (53, "\n\n\n"), (54, rows[0][1]), (None, rows[1][1]), (None, "é 😀\nx")]
+    rows += [(55, "\n".join(f"{k % 13}" for k in range(5000))), rows[2], (3, blocks[0] + "\n" + blocks[0])]
+    assert found(spark, rows) == expected(rows)
+    assert sum(r[2] for r in expected(rows)) > 40
+
+
+def test_passages_of_one_to_five_lines_go_at_every_place_but_the_first(spark):
+    """Of more than 50 words each, inside otherwise different documents."""
+    pick, rows = random.Random(5), []
+    line = lambda n: " ".join(f"w{pick.randrange(10**6)}" for _ in range(n))
+    own = {}
+    for n_lines in (1, 2, 3, 4, 5):
+        for _ in range(8):
+            passage = "\n".join(line(60 // n_lines + 1) for _ in range(n_lines))
+            for k in range(3):
+                before, after = line(9), line(9)
+                i = len(rows)
+                rows.append((i, f"{before}\n{passage}\n{after}"))
+                own[i] = rows[-1][1] if k == 0 else f"{before}\n{after}"
+    assert {i: text for i, text, _ in found(spark, rows)} == own
+
+
+def test_whole_copies_become_empty(spark):
+    text = "\n".join(f"line {k}" for k in range(7))
+    assert [r[1:] for r in found(spark, [(1, text), (2, text), (3, f"own\n{text}")])] == [(text, 0), ("", 7), ("own", 7)]
+
+
+def test_empty(spark):
+    assert found(spark, []) == []
+
+
+def test_query_gives_what_its_sql_gives(spark):
+    name = "op9_passage_dedup"
+    rows, ours, theirs = compare.differences(
+        entry_points.queries()[name](spark, SMALL), compare.connect(SMALL), entry_points.oracle_sql()[name]
+    )
+    assert rows > 0
+    assert not ours and not theirs, (ours[:3], theirs[:3])
