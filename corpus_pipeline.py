@@ -17,8 +17,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated chunks of lines; documents that have nothing left go."""
-    found = lines.dedup_lines(docs).where("text <> '' or chunks_removed = 0")
+    """Texts without repeated chunks of lines; documents that have nothing left go.
+
+    A copy of a document of smaller id goes as a whole if it has a chunk to lose. Left as a fragment,
+    it would no longer be similar to the first copy. Other copies are whole, and left to the next stage.
+    """
+    found = lines.dedup_lines(docs, copies=True).where("text <> '' or chunks_removed = 0")
     touched = F.col("chunks_removed") > 0
     n_chars = F.when(touched, F.char_length("text")).otherwise(F.col("n_chars")).cast("bigint")
     return found.withColumn("n_chars", n_chars).select(*docs.columns)

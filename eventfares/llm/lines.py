@@ -14,7 +14,7 @@ LONG_WORDS = 50  # a single line of more words is a passage of its own
 ORDER = "decimal(38,0)"
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", copies: bool = False) -> DataFrame:
     """`docs` with its text rid of repeated chunks, and `chunks_removed` and `lines_removed`.
 
     Lines end at a line feed. A chunk ends after a line where a rolling hash over the hashes of that
@@ -23,7 +23,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     byte, wherever they are, the one at the smallest (id, place) stays and the others are removed.
     Shorter chunks stay. A null id ranks above all others. Rows that repeat an id hold their chunks
     at the same place, so those they have in common there all stay. A null text stays null, and an
-    empty one is a single line. Other columns pass through; an empty table gives no rows.
+    empty one is a single line. Other columns pass through; an empty table gives no rows. With
+    `copies`, a text that loses a chunk and that a smaller id has as a whole loses all its lines.
     """
     rows = docs.withColumns(
         {"_id": F.col(doc_id).cast("bigint"), "_text": F.col(text), "_hash": F.xxhash64(text)}
@@ -44,9 +45,14 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         .agg(F.collect_set("place").alias("_gone"), F.countDistinct("place").alias("chunks_removed"))
     )
     gone = gone.select(F.col("_id").alias("g_id"), F.col("_hash").alias("g_hash"), "_gone", "chunks_removed")
+    if copies:
+        again = F.col("g_id").eqNullSafe(F.col("c_id")) & (F.col("g_hash") == F.col("c_hash"))
+        gone = gone.join(_copies(rows), again, "left").withColumn("_copy", F.col("c_hash").isNotNull()).drop("c_id", "c_hash")
+    else:
+        gone = gone.withColumn("_copy", F.lit(False))
     same = F.col("_id").eqNullSafe(F.col("g_id")) & (F.col("_hash") == F.col("g_hash"))
     found = rows.join(gone, same, "left")
-    cut = F.when(F.col("_gone").isNotNull(), _without(F.col("_text"), F.col("_gone")))
+    cut = F.when(F.col("_copy"), F.array().cast("array<string>")).when(F.col("_gone").isNotNull(), _without(F.col("_text"), F.col("_gone")))
     # An untouched text is passed on; a cut one is worked out once, in a generator.
     found = found.select("*", F.explode(F.array(cut)).alias("_left"))
     n_lines = F.size(F.split(F.col("_text"), "\n", -1))
@@ -115,6 +121,14 @@ def _order(doc_id: Column, place: Column) -> Column:
     return (ranked * F.lit(str(1 << 32)).cast("decimal(10,0)") + place).cast(ORDER)
 
 
+def _copies(rows: DataFrame) -> DataFrame:
+    """`c_id, c_hash` of texts that a smaller id has, byte for byte (by SHA-256)."""
+    marks = keep(rows.where("_text is not null").select("_id", "_hash", F.sha2("_text", 256).alias("digest")), "texts")
+    first = marks.groupBy("digest").agg(F.count("*").alias("n"), F.min("_id").alias("first")).where("n > 1 and first is not null")
+    later = marks.join(keep(first.select("digest", "first"), "repeated-texts"), "digest").where("_id is null or _id > first")
+    return later.select(F.col("_id").alias("c_id"), F.col("_hash").alias("c_hash")).distinct()
+
+
 def _line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(F.encode(line, "UTF-8")), 1, 8), 16, 10).cast("bigint")
 
