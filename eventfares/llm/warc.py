@@ -39,6 +39,8 @@ _RECORDS = pa.schema(
         ("payload_bytes", pa.int64()),
         ("payload_digest", pa.string()),
         ("payload", pa.binary()),
+        ("inner_offset", pa.int64()),
+        ("inner_length", pa.int64()),
     ]
 )
 
@@ -138,7 +140,11 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
     plain or have one or more records in a gzip member. A record counts when its member unpacks, its
     head and lengths are sound, and its block and payload have the digests they claim. After a
     failed check the reader looks for the next gzip sign or version line from which a sound record
-    can be read; the bytes between are one gap, with the first `reason`. A revisit has the length
+    can be read; the bytes between are one gap, with the first `reason`. In a member it looks for the
+    next version line in the unpacked bytes, so a fault costs no other record: `inner_offset` and
+    `inner_length` are the unpacked bytes of a member's record or gap. Of a member that does not
+    unpack to its end, the records before the fault count if they have a digest that was checked;
+    the gap then starts at the fault. (Digests do not cover a record's head.) A revisit has the length
     and digest of the payload it stands for. An archive is read as one row, so it is at most 2 GB,
     and a task holds one at a time. `payloads=False` leaves the payload null.
     """
@@ -157,17 +163,17 @@ def records(archive: DataFrame) -> DataFrame:
 
 
 def gaps(archive: DataFrame) -> DataFrame:
-    return archive.where("kind = 'gap'").select("archive", "offset", "length", "reason")
+    return archive.where("kind = 'gap'").select("archive", "offset", "length", "reason", "inner_offset", "inner_length")
 
 
 def _rows(archive: str, data: memoryview, payloads: bool):
     held, size = [], 0
-    for kind, offset, length, found in salvage(data):
+    for kind, offset, length, found, *inner in _salvage(data):
         if kind == "gap":
-            held.append((archive, kind, offset, length, found, *[None] * 7))
+            held.append((archive, kind, offset, length, found, *[None] * 7, *inner))
         else:
             payload = found.pop("payload")
-            held.append((archive, kind, offset, length, None, *found.values(), payload if payloads else None))
+            held.append((archive, kind, offset, length, None, *found.values(), payload if payloads else None, *inner))
             size += len(payload) if payloads else 0
         if len(held) >= 1000 or size >= 8 << 20:
             yield batch_of(_RECORDS, *zip(*held, strict=True))
@@ -182,24 +188,33 @@ class Damaged(ValueError):
 
 def salvage(data: memoryview):
     """`("record", offset, length, fields)` and `("gap", offset, length, reason)`, in order."""
+    for found in _salvage(data):
+        yield found[:4]
+
+
+def _salvage(data: memoryview):
+    """As `salvage`, each with its offset and length in the unpacked member, or nulls."""
     whole = data.obj if isinstance(data.obj, bytes) and len(data.obj) == len(data) else bytes(data)
-    at, gap, reason = 0, None, None
+    at, gap, reason, inner = 0, None, None, (None, None)
     while at < len(whole):
         try:
-            found, end = _read_at(whole, at)
+            found, end, fault = _read_at(whole, at)
         except Damaged as error:
             if gap is None:
                 gap, reason = at, str(error)
             at = _next_sign(whole, at + 1)
             continue
         if gap is not None:
-            yield "gap", gap, at - gap, reason
-            gap = None
-        for fields in found:
-            yield "record", at, end - at, fields
+            yield "gap", gap, at - gap, reason, *inner
+            gap, inner = None, (None, None)
+        for kind, value, *place in found:
+            yield kind, at, end - at, value, *place
         at = end
+        if fault is not None:
+            gap, (reason, *inner) = end, fault
+            at = _next_sign(whole, end)
     if gap is not None:
-        yield "gap", gap, len(whole) - gap, reason
+        yield "gap", gap, len(whole) - gap, reason, *inner
 
 
 def _next_sign(data: bytes, start: int) -> int:
@@ -207,34 +222,70 @@ def _next_sign(data: bytes, start: int) -> int:
     return min(places, default=len(data))
 
 
-def _read_at(data: bytes, at: int) -> tuple[list[dict], int]:
-    """The records of the member or plain record at `at`, and where it ends."""
-    if data.startswith(MEMBER, at):
-        plain, end = _unpack(data, at)
-        found, inner = [], 0
-        while inner < len(plain):
-            fields, inner = _record(plain, inner)
-            found.append(fields)
-        return found, end
-    fields, end = _record(data, at)
-    return [fields], end
+def _read_at(data: bytes, at: int) -> tuple[list[tuple], int, tuple | None]:
+    """What the member or plain record at `at` has, where it ends, and the gap that follows if it
+    does not unpack further: its reason, and its unpacked offset and length."""
+    if not data.startswith(MEMBER, at):
+        fields, end = _record(data, at)
+        return [("record", fields, None, None)], end, None
+    plain, end, error = _unpack(data, at)
+    found = list(_inside(plain, checked=error is not None))
+    kinds = [x[0] for x in found]
+    if "record" not in kinds and (found or error):
+        raise Damaged(error or found[0][1])
+    if error is None:
+        return found, end, None
+    # The gap after the last record is that of the fault.
+    tail = found.pop()[2:] if kinds[-1] == "gap" else (len(plain), 0)
+    # A member that lacks bytes may have unpacked some of the next one's.
+    return found, min(end, _next_sign(data, at + 1)), (error, *tail)
+
+
+def _inside(plain: bytes, checked: bool):
+    """`(kind, fields or reason, offset, length)` of the records and gaps of a member's bytes."""
+    at, gap, reason = 0, None, None
+    while at < len(plain):
+        try:
+            fields, end = _record(plain, at, checked)
+        except Damaged as error:
+            if gap is None:
+                gap, reason = at, str(error)
+            at = plain.find(VERSION, at + 1)
+            at = len(plain) if at < 0 else at
+            continue
+        if gap is not None:
+            yield "gap", reason, gap, at - gap
+            gap = None
+        yield "record", fields, at, end - at
+        at = end
+    if gap is not None:
+        yield "gap", reason, gap, len(plain) - gap
 
 
-def _unpack(data: bytes, at: int, step: int = 1 << 16) -> tuple[bytes, int]:
+def _unpack(data: bytes, at: int, step: int = 1 << 16) -> tuple[bytes, int, str | None]:
+    """The bytes of the member at `at` up to its end or a fault, where that is, and the fault."""
     unpack, out = zlib.decompressobj(31), []
     while not unpack.eof:
         piece = data[at : at + step]
         if not piece:
-            raise Damaged("member is cut short")
+            return b"".join(out), at, "member is cut short"
+        before = unpack.copy()
         try:
             out.append(unpack.decompress(piece))
-        except zlib.error as error:
-            raise Damaged("member does not unpack") from error
+        except zlib.error:
+            # Byte by byte, so that nothing before the fault is lost.
+            for k in range(len(piece)):
+                try:
+                    out.append(before.decompress(piece[k : k + 1]))
+                except zlib.error:
+                    return b"".join(out), at + k, "member does not unpack"
+            raise
         at += len(piece)
-    return b"".join(out), at - len(unpack.unused_data)
+    return b"".join(out), at - len(unpack.unused_data), None
 
 
-def _record(data: bytes, at: int) -> tuple[dict, int]:
+def _record(data: bytes, at: int, checked: bool = False) -> tuple[dict, int]:
+    """The record at `at` and its end. With `checked` it must have a digest that can be checked."""
     if not data.startswith(VERSION, at):
         raise Damaged("no version line")
     head_end = data.find(HEAD_END, at)
@@ -249,7 +300,7 @@ def _record(data: bytes, at: int) -> tuple[dict, int]:
     if data[end : end + len(HEAD_END)] != HEAD_END:
         raise Damaged("block does not end where it should")
     block = data[start:end]
-    _check(head.get("warc-block-digest"), block, "block")
+    sound = _check(head.get("warc-block-digest"), block, "block")
     payload, http = _payload(head, block)
     digest = head.get("warc-payload-digest")
     if head.get("warc-type") == "revisit":
@@ -257,8 +308,10 @@ def _record(data: bytes, at: int) -> tuple[dict, int]:
         n_bytes = int(claimed) if claimed.isascii() and claimed.isdigit() else None
         sha = _hex(digest)
     else:
-        _check(digest, payload, "payload")
+        sound = _check(digest, payload, "payload") or sound
         n_bytes, sha = len(payload), hashlib.sha1(payload).hexdigest()
+    if checked and not sound:
+        raise Damaged("no digest to check the record by")
     fields = {
         "record_type": head.get("warc-type"),
         "record_id": head.get("warc-record-id"),
@@ -296,11 +349,12 @@ def _hex(digest: str | None) -> str | None:
         raise Damaged("digest cannot be read") from error
 
 
-def _check(digest: str | None, data: bytes, what: str) -> None:
-    """Digests of other kinds than SHA-1 are not checked."""
+def _check(digest: str | None, data: bytes, what: str) -> bool:
+    """Whether there is a digest to check. Those of other kinds than SHA-1 are not checked."""
     expected = _hex(digest)
     if expected is not None and hashlib.sha1(data).hexdigest() != expected:
         raise Damaged(f"{what} digest differs")
+    return expected is not None
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
