@@ -166,6 +166,14 @@ def gaps(archive: DataFrame) -> DataFrame:
     return archive.where("kind = 'gap'").select("archive", "offset", "length", "reason", "inner_offset", "inner_length")
 
 
+def whole(archive: DataFrame) -> DataFrame:
+    """The records of archives that should have no gap. A gap fails the query and is named."""
+    parts = [F.lit("gap in"), "archive", F.lit("at"), "offset", F.lit("of"), "length", F.lit("bytes:"), "reason"]
+    # One filter, so that no other is put before it.
+    sound = F.when(F.col("kind") == "gap", F.raise_error(F.concat_ws(" ", *parts)).cast("boolean"))
+    return archive.where(sound.otherwise(F.col("kind") == "record")).drop("kind", "reason")
+
+
 def _rows(archive: str, data: memoryview, payloads: bool):
     held, size = [], 0
     for kind, offset, length, found, *inner in _salvage(data):
@@ -358,10 +366,10 @@ def _check(digest: str | None, data: bytes, what: str) -> bool:
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page as a record, written and read back."""
+    """Every page as a record, written and read back. Fails if an archive has a gap."""
     path = new_path(spark, "warc")
     write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
-    found = records(read_warc(spark, path, payloads=False))
+    found = whole(read_warc(spark, path, payloads=False))
     number = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1)
     as_id = lambda c: F.when(number(c) != "", number(c).cast("bigint"))
     return found.select(
