@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventfares.llm import bpe, embed, exact, jaccard, langid, lines, mixing, sharding, tokens, warc
+from eventfares.llm import bpe, embed, exact, jaccard, langid, lines, mixing, sharding, tokens, warc, wordbpe
 
 QUERIES = {
     "op1_warc": warc.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_token_counts": tokens.op8,
     "op9_line_dedup": lines.op9,
     "op10_language_id": langid.op10,
+    "op11_word_bpe": wordbpe.op11,
 }
 
 ORACLE = {
