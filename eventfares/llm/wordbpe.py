@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections import Counter
 from itertools import chain
 
@@ -25,10 +26,15 @@ from eventfares.llm.common import batch_of, map_arrow
 from eventfares.llm.lexicon import Lexicon, compile_lexicon
 from eventfares.settings import keep, shared_dir
 
-LEXICON_WORDS = 60_000  # bounds what the driver collects, and the size of the file
-HELD_CHUNKS = 300_000
+LEXICON_WORDS = 200_000  # bounds what the driver collects, and the size of the file
+HELD = 400_000
 COUNTED_CHUNKS = 1_000_000
 ROWS = 500
+NO_RANK = 1 << 31
+
+# The letters and the numbers of Latin-1.
+LETTERS = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
+NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 
 _COUNTS = pa.schema([("word", pa.binary()), ("n", pa.int64())])
 _ENTRIES = pa.schema([("word", pa.binary()), ("ids", pa.list_(pa.int32()))])
@@ -70,13 +76,17 @@ class Model:
         self.bytes_of = {letter: b for b, letter in enumerate(self.letters)}
         self.first = [vocab[letter] for letter in self.letters]
         self.last = [vocab[letter + end] for letter in self.letters]
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(merges)}
-        # Normal forms and character classes differ between Unicode versions, so words with other
-        # than ASCII characters are split by the file's own rules.
+        self.ranks = {(vocab[a], vocab[b]): rank for rank, (a, b) in enumerate(merges)}
+        self.made = [vocab[a + b] for a, b in merges]
+        # Character classes differ between Unicode versions, and other letters have several forms,
+        # so only words of Latin-1 are split here, and all others by the file's own rules.
         rules = Tokenizer.from_str(source)
         self._normal, self._split = rules.normalizer, rules.pre_tokenizer
         pattern = read["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self._ascii = re.compile(pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9").replace(r"\s", r"\t-\r "))
+        classes = {r"\p{L}": LETTERS, r"\p{N}": NUMBERS, r"\s": r"\t-\r \x85\xa0"}
+        for name, members in classes.items():
+            pattern = pattern.replace(name, members)
+        self._latin = re.compile(pattern)
         self._special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")")
 
     def chunks(self, text: str) -> list[str]:
@@ -93,8 +103,10 @@ class Model:
 
     def words(self, chunk: str) -> list[bytes]:
         """The words of a chunk without special strings, in bytes."""
-        if chunk.isascii():
-            return [w.encode() for w in self._ascii.findall(chunk.lower())]
+        if max(chunk) < "\u0100":
+            if chunk.isalpha():
+                return [chunk.lower().encode()]
+            return [w.encode() for w in self._latin.findall(chunk.lower())]
         found = self._split.pre_tokenize_str(self._normal.normalize_str(chunk))
         return [bytes(map(self.bytes_of.__getitem__, word)) for word, _ in found]
 
@@ -103,13 +115,16 @@ class Model:
         ids = [*map(self.first.__getitem__, word[:-1]), self.last[word[-1]]]
         if len(ids) > 100:
             return self._merge_long(ids)
-        merges = self.merges
-        while len(ids) > 1:
-            found = [(m, i) for i, pair in enumerate(zip(ids, ids[1:])) if (m := merges.get(pair))]
-            if not found:
-                break
-            (_, new), at = min(found)
-            ids[at : at + 2] = [new]
+        rank_of, made = self.ranks, self.made
+        ranks = [rank_of.get(pair, NO_RANK) for pair in zip(ids, ids[1:])]
+        while ranks and (low := min(ranks)) < NO_RANK:
+            at = ranks.index(low)
+            ids[at : at + 2] = [made[low]]
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = rank_of.get((ids[at], ids[at + 1]), NO_RANK)
+            if at:
+                ranks[at - 1] = rank_of.get((ids[at - 1], ids[at]), NO_RANK)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
@@ -118,48 +133,64 @@ class Model:
 
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*m, i, pair) for i, pair in enumerate(zip(ids, ids[1:])) if (m := self.merges.get(pair))]
+        heap = [(r, i, pair) for i, pair in enumerate(zip(ids, ids[1:])) if (r := self.ranks.get(pair)) is not None]
         heapq.heapify(heap)
         while heap:
-            _, new, at, pair = heapq.heappop(heap)
+            rank, at, pair = heapq.heappop(heap)
             follows = after[at]
             if follows >= n or (ids[at], ids[follows]) != pair:
                 continue  # one of the two has been merged since
-            ids[at], ids[follows], after[at] = new, -1, after[follows]
+            ids[at], ids[follows], after[at] = self.made[rank], -1, after[follows]
             if after[at] < n:
                 before[after[at]] = at
             for left in (before[at], at):
-                if left >= 0 and after[left] < n and (m := self.merges.get(pair := (ids[left], ids[after[left]]))):
-                    heapq.heappush(heap, (*m, left, pair))
+                if left >= 0 and after[left] < n:
+                    pair = (ids[left], ids[after[left]])
+                    if (r := self.ranks.get(pair)) is not None:
+                        heapq.heappush(heap, (r, left, pair))
         return [i for i in ids if i >= 0]
 
 
 class Encoder:
-    """Encodes texts, and holds the ids of up to `HELD_CHUNKS` chunks besides those of a batch."""
+    """Encodes texts, and holds the ids of up to `HELD` chunks, and as many words, besides those of a
+    batch.
+
+    An entry is `(n, ids, ids as text, decoded)` of a chunk or a word, the ids of 32 bits each.
+    """
 
     def __init__(self, model: Model, lexicon: Lexicon):
         self.model, self.lexicon = model, lexicon
-        self.held: dict[str, tuple] = {}
+        self.chunks: dict[str, tuple] = {}
+        self.words: dict[bytes, tuple] = {}
 
     def encode(self, texts: list[str]) -> list[list[tuple]]:
-        """For each text its chunks as `(n, ids, ids as text, decoded)`."""
+        """For each text the entries of its chunks."""
         split = [self.model.chunks(t) for t in texts]
-        if len(self.held) > HELD_CHUNKS:
-            self.held.clear()
-        self._meet([*set().union(*split).difference(self.held)])
-        held = self.held
-        return [[held[c] for c in chunks] for chunks in split]
+        for held in (self.chunks, self.words):
+            if len(held) > HELD:
+                held.clear()
+        self._meet([*set().union(*split).difference(self.chunks)])
+        entries = self.chunks
+        return [[entries[c] for c in chunks] for chunks in split]
 
     def _meet(self, chunks: list[str]) -> None:
-        model = self.model
-        words = [[] if c in model.specials else model.words(c) for c in chunks]
-        distinct = [*set(chain.from_iterable(words))]
-        found = self.lexicon.find(distinct).tolist()
-        ids_of = {w: model.merge(w) if k < 0 else self.lexicon.ids_of(k) for w, k in zip(distinct, found, strict=True)}
+        model, entries = self.model, self.words
+        words = [() if c in model.specials else model.words(c) for c in chunks]
+        new = [*set(chain.from_iterable(words)).difference(entries)]
+        for word, number in zip(new, self.lexicon.find(new).tolist(), strict=True):
+            entries[word] = self._entry(model.merge(word) if number < 0 else self.lexicon.ids_of(number))
         for chunk, parts in zip(chunks, words, strict=True):
-            ids = [model.specials[chunk]] if chunk in model.specials else [i for w in parts for i in ids_of[w]]
-            decoded = " ".join([model.pieces[i] for i in ids])
-            self.held[chunk] = (len(ids), ids, " ".join(map(str, ids)), decoded)
+            if len(parts) == 1:
+                self.chunks[chunk] = entries[parts[0]]
+            elif parts:
+                n, ids, text, decoded = zip(*[entries[w] for w in parts])
+                self.chunks[chunk] = (sum(n), b"".join(ids), " ".join(text), " ".join(decoded))
+            else:
+                self.chunks[chunk] = self._entry([model.specials[chunk]] if chunk in model.specials else [])
+
+    def _entry(self, ids: list[int]) -> tuple:
+        pieces = self.model.pieces
+        return len(ids), array("I", ids).tobytes(), " ".join(map(str, ids)), " ".join([pieces[i] for i in ids])
 
 
 _models: dict[str, Model] = {}
@@ -278,7 +309,7 @@ def encode(docs: DataFrame, source: str, doc_id: str = "doc_id", text: str = "te
     """
 
     def rows(found, doc_ids):
-        ids = [[*chain.from_iterable(c[1] for c in chunks)] for chunks in found]
+        ids = [np.frombuffer(b"".join([c[1] for c in chunks]), np.int32) for chunks in found]
         return batch_of(_ENCODED, doc_ids, ids, [_joined(chunks, 3) for chunks in found])
 
     return _over(docs, source, doc_id, text, most, rows, _ENCODED)
