@@ -16,6 +16,19 @@ def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+def batches_of(schema: pa.Schema, rows, chars: int = 8 << 20, most: int = 1000):
+    """Batches of `rows`, each a weight in characters and a tuple of values."""
+    held, weight = [], 0
+    for size, values in rows:
+        held.append(values)
+        weight += size
+        if weight >= chars or len(held) >= most:
+            yield batch_of(schema, *zip(*held, strict=True))
+            held, weight = [], 0
+    if held:
+        yield batch_of(schema, *zip(*held, strict=True))
+
+
 def map_arrow(df: DataFrame, function, schema: pa.Schema) -> DataFrame:
     """`mapInArrow` with an Arrow schema, empty batches skipped."""
 
@@ -35,5 +48,6 @@ def ddl(schema: pa.Schema) -> str:
         pa.bool_(): "boolean",
         pa.list_(pa.int64()): "array<bigint>",
         pa.list_(pa.int32()): "array<int>",
+        pa.list_(pa.string()): "array<string>",
     }
     return ", ".join(f"{f.name} {names[f.type]}" for f in schema)

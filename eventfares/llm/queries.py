@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventfares.llm import bpe, embed, exact, jaccard, langid, lines, mixing, sharding, tokens, warc, wordbpe
+from eventfares.llm import bpe, collocations, conversations, embed, exact, jaccard, langid, lines, mixing, sharding, tokens, warc, wordbpe
 
 QUERIES = {
     "op1_warc": warc.op1,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_line_dedup": lines.op9,
     "op10_language_id": langid.op10,
     "op11_word_bpe": wordbpe.op11,
+    "op12_conversation_repair": conversations.op12,
+    "op13_collocations": collocations.op13,
 }
 
 ORACLE = {
@@ -24,4 +26,5 @@ ORACLE = {
     "op5_embedding_dedup": embed.OP5_SQL,
     "op7_jaccard_join": jaccard.OP7_SQL,
     "op9_line_dedup": lines.OP9_SQL,
+    "op13_collocations": collocations.OP13_SQL,
 }

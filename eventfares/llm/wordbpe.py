@@ -27,7 +27,7 @@ from eventfares.llm.lexicon import Lexicon, compile_lexicon
 from eventfares.settings import keep, shared_dir
 
 LEXICON_WORDS = 200_000  # bounds what the driver collects, and the size of the file
-HELD = 400_000
+HELD = 600_000
 COUNTED_CHUNKS = 1_000_000
 ROWS = 500
 NO_RANK = 1 << 31
