@@ -26,10 +26,10 @@ SCALE = 2_000_000
 TOP = 2000
 NO_LANG = "und"
 
-BUDGET = 2_000_000  # suffixes of a group
-BLOCK_BYTES = 16 << 20
+BUDGET = 1_000_000  # suffixes of a group
+BLOCK_BYTES = 8 << 20
 SLICE_BYTES = 1 << 20
-SALTS = 64
+SALTS = 16
 
 _BREAK = b"\xff"  # in no text of UTF-8
 _PLAIN = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", _BREAK * 10 + b" ")
