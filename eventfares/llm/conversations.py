@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from eventfares.llm.common import batch_of, batches_of, map_arrow
 from eventfares.settings import keep
 
-SEGMENT_ROWS = 200
+SEGMENT_ROWS = 64
 SEGMENT_CHARS = 4 << 20
 PREFIX = 64
 
