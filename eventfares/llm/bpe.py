@@ -267,19 +267,20 @@ def encode_words(words: DataFrame, table: Column, word: str = "word") -> DataFra
 
     text = F.coalesce(F.col(word), F.lit(""))
     # The bytes sit in a generator, so that no lambda works them out again.
-    split = words.select("*", F.explode(F.array(F.lower(F.hex(F.encode(text, "UTF-8"))))).alias("_hex"))
-    n = F.length("_hex") / 2
+    row = F.struct(*[F.col(f"`{c}`") for c in words.columns]).alias("row")
+    split = words.select(row, F.explode(F.array(F.lower(F.hex(F.encode(text, "UTF-8"))))).alias("hex"))
+    n = F.length("hex") / 2
 
     def byte(i: Column) -> Column:
-        pair = F.when(i < n - 1, rank(F.substr("_hex", 2 * i + 1, F.lit(4)))).otherwise(NO_RANK)
-        return F.struct(F.substr("_hex", 2 * i + 1, F.lit(2)).alias("piece"), pair.alias("pair"))
+        pair = F.when(i < n - 1, rank(F.substr("hex", 2 * i + 1, F.lit(4)))).otherwise(NO_RANK)
+        return F.struct(F.substr("hex", 2 * i + 1, F.lit(2)).alias("piece"), pair.alias("pair"))
 
     steps = F.when(n > 1, F.sequence(F.lit(2), n.cast("int"))).otherwise(F.array().cast("array<int>"))
     single = F.transform(F.sequence(F.lit(0), F.greatest(n.cast("int") - 1, F.lit(0))), byte)
     merged = F.transform(F.aggregate(steps, single, step), lambda x: rank(x["piece"]))
-    whole = rank(F.col("_hex"))
+    whole = rank(F.col("hex"))
     ids = F.when(n < 1, F.array().cast("array<int>")).when(whole != NO_RANK, F.array(whole)).otherwise(merged)
-    return split.withColumn("ids", ids).drop("_hex")
+    return split.select(*[F.col("row").getField(c).alias(c) for c in words.columns if c != "ids"], ids.alias("ids"))
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,9 +90,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """`docs` without the documents that a document of smaller id leads to."""
-    found = near_duplicates(docs)
+def keep_one(docs: DataFrame, judged: DataFrame | None = None) -> DataFrame:
+    """`docs` without the documents that a document of smaller id leads to.
+
+    `judged(doc_id, text)` has the texts to judge by, where they are not those of `docs`.
+    """
+    found = near_duplicates(docs if judged is None else judged)
     gone = found.where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 

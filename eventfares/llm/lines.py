@@ -1,4 +1,4 @@
-"""Line dedup by content-defined chunks of lines, and by runs of adjacent lines."""
+"""Line dedup by rolling hashes over line hashes: repeated runs of lines go, wherever they begin and end."""
 
 from __future__ import annotations
 
@@ -7,184 +7,107 @@ from pyspark.sql import functions as F
 
 from eventfares.settings import keep
 
-DIVISOR = 3  # lines in a chunk, on average
-MIN_LINES = 2
-STEP = 31
 LONG_WORDS = 50  # a single line of more words is a passage of its own
 ORDER = "decimal(38,0)"
+REMOVED = "lines_removed"
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", copies: bool = False) -> DataFrame:
-    """`docs` with its text rid of repeated chunks, and `chunks_removed` and `lines_removed`.
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """`docs` with its text rid of repeated runs of lines, and `lines_removed`.
 
-    Lines end at a line feed. A chunk ends after a line where a rolling hash over the hashes of that
-    line and the one before is a multiple of `DIVISOR`, or with the text, so an insertion moves no
-    boundary beyond its neighbours. Of chunks of `MIN_LINES` lines or more that are equal byte for
-    byte, wherever they are, the one at the smallest (id, place) stays and the others are removed.
-    Shorter chunks stay. A null id ranks above all others. Rows that repeat an id hold their chunks
-    at the same place, so those they have in common there all stay. A null text stays null, and an
-    empty one is a single line. Other columns pass through; an empty table gives no rows. With
-    `copies`, a text that loses a chunk and that a smaller id has as a whole loses all its lines.
-    """
-    rows = docs.withColumns(
-        {"_id": F.col(doc_id).cast("bigint"), "_text": F.col(text), "_hash": F.xxhash64(text)}
-    )
-    chunks = _chunks(rows.select("_id", "_text", "_hash"))
-    marks = keep(chunks.select("_id", "_hash", "place", "order", "n_lines", F.sha2("chunk", 256).alias("digest")), "chunks")
-    # Grouping by the chunk itself compares bytes; copies are combined before they are sent.
-    repeated = (
-        chunks.groupBy("chunk")
-        .agg(F.count("*").alias("n"), F.min("order").alias("first"))
-        .where("n > 1")
-        .select(F.sha2("chunk", 256).alias("digest"), "first")
-    )
-    gone = (
-        marks.join(keep(repeated, "repeated"), "digest")
-        .where("order <> first")
-        .groupBy("_id", "_hash")
-        .agg(F.collect_set("place").alias("_gone"), F.countDistinct("place").alias("chunks_removed"))
-    )
-    gone = gone.select(F.col("_id").alias("g_id"), F.col("_hash").alias("g_hash"), "_gone", "chunks_removed")
-    if copies:
-        again = F.col("g_id").eqNullSafe(F.col("c_id")) & (F.col("g_hash") == F.col("c_hash"))
-        gone = gone.join(_copies(rows), again, "left").withColumn("_copy", F.col("c_hash").isNotNull()).drop("c_id", "c_hash")
-    else:
-        gone = gone.withColumn("_copy", F.lit(False))
-    same = F.col("_id").eqNullSafe(F.col("g_id")) & (F.col("_hash") == F.col("g_hash"))
-    found = rows.join(gone, same, "left")
-    cut = F.when(F.col("_copy"), F.array().cast("array<string>")).when(F.col("_gone").isNotNull(), _without(F.col("_text"), F.col("_gone")))
-    # An untouched text is passed on; a cut one is worked out once, in a generator.
-    found = found.select("*", F.explode(F.array(cut)).alias("_left"))
-    n_lines = F.size(F.split(F.col("_text"), "\n", -1))
-    left = F.when(F.size("_left") > 0, F.array_join("_left", "\n")).otherwise("")
-    touched = F.col("_left").isNotNull()
-    return found.select(
-        *[F.when(touched, left).otherwise(F.col("_text")).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns],
-        F.coalesce("chunks_removed", F.lit(0)).cast("bigint").alias("chunks_removed"),
-        F.when(touched, n_lines - F.size("_left")).otherwise(0).cast("bigint").alias("lines_removed"),
-    )
+    Lines end at a line feed. A rolling hash runs over the hashes of every two adjacent lines, and a
+    chunk is a run of lines over which it repeats, so its boundaries lie where repetition ends, and an
+    insertion moves none. Of two adjacent lines that are equal byte for byte to two others, wherever
+    those are, the ones at the smallest (id, line) stay and the others go; so a chunk of two lines or
+    more goes as a whole. So does a single line of more than `LONG_WORDS` words, which are runs of
+    characters other than the space. Other single lines stay. A text all of whose lines go is empty.
 
-
-def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` with its text rid of repeated passages, and `lines_removed`.
-
-    Lines end at a line feed. Every two adjacent lines are a passage, and so is every line of more
-    than `LONG_WORDS` words, which are runs of characters other than the space. Of passages that are
-    equal byte for byte (by SHA-256), wherever they are, the one at the smallest (id, line) is the
-    first, and the lines of all others go. So a run of two lines or more that occurs before goes as
-    a whole, however long and wherever it starts, and a text of such lines becomes empty. Every
-    line that goes is left where it is at its smallest place among those passages. Nulls, empty
-    texts, null and repeated ids and other columns are treated as by `dedup_lines`.
+    A null id ranks above all others. Rows that repeat an id have their lines at the same places, so
+    those they have in common there all stay. A null text stays null, and an empty one is a single
+    line. Other columns pass through, whatever their names; one called `lines_removed` is replaced.
+    An empty table gives no rows.
     """
-    rows = docs.withColumns(
-        {"_id": F.col(doc_id).cast("bigint"), "_text": F.col(text), "_hash": F.xxhash64(text)}
-    )
-    marks = keep(_passages(rows.select("_id", "_text", "_hash")), "passages")
-    repeated = marks.groupBy("digest").agg(F.count("*").alias("n"), F.min("order").alias("first")).where("n > 1")
-    # Both lines of a pair go, or the one of a long line.
-    spans = marks.join(keep(repeated.select("digest", "first"), "repeated-passages"), "digest").where("order <> first")
-    gone = (
-        spans.select("_id", "_hash", F.explode(F.sequence("place", F.col("place") + F.col("more"))).alias("place"))
-        .groupBy(F.col("_id").alias("g_id"), F.col("_hash").alias("g_hash"))
-        .agg(F.collect_set("place").alias("_gone"))
+    # The columns of `docs` travel in one of ours, so that no name of theirs meets a name of ours.
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(f"`{doc_id}`").cast("bigint").alias("id"),
+        F.xxhash64(f"`{text}`").alias("hash"),
+        F.col(f"`{text}`").alias("text"),
     )
-    same = F.col("_id").eqNullSafe(F.col("g_id")) & (F.col("_hash") == F.col("g_hash"))
-    found = rows.join(gone, same, "left")
-    touched = F.col("_gone").isNotNull()
-    parts = F.split("_text", "\n", -1)
-    found = found.select("*", F.explode(F.array(F.when(touched, parts))).alias("_lines"))
-    places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")
-    left = F.when(touched, F.array_join(F.transform(places, lambda p: F.get("_lines", p)), "\n"))
+    gone = _repeated(rows.select("id", "hash", "text"))
+    gone = gone.groupBy(F.col("id").alias("g_id"), F.col("hash").alias("g_hash")).agg(F.collect_set("place").alias("gone"))
+    found = rows.drop("text").join(gone, _same("g_id", "g_hash"), "left")
+    touched = F.col("gone").isNotNull()
+    whole = F.col("row").getField(text)
+    # An untouched text is passed on; a cut one is split once, in a generator.
+    found = found.select("row", "gone", F.explode(F.array(F.when(touched, F.split(whole, "\n", -1)))).alias("lines"))
+    places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    left = F.when(touched, F.array_join(F.transform(places, lambda p: F.get("lines", p)), "\n")).otherwise(whole)
     return found.select(
-        *[F.coalesce(left, "_text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns],
-        F.when(touched, F.size("_gone")).otherwise(0).cast("bigint").alias("lines_removed"),
+        *[(left if c == text else F.col("row").getField(c)).alias(c) for c in docs.columns if c != REMOVED],
+        F.when(touched, F.size("gone")).otherwise(0).cast("bigint").alias(REMOVED),
     )
 
 
-def _passages(rows: DataFrame) -> DataFrame:
-    """Pairs of adjacent lines and single long lines: `_id, _hash, place, more, order, digest`."""
-    lined = rows.where("_text is not null").select("_id", "_hash", F.explode(F.array(F.split("_text", "\n", -1))).alias("lines"))
-    placed = lined.select("_id", "_hash", "lines", F.posexplode("lines").alias("place", "line"))
-    after = F.get("lines", F.col("place") + 1)
-    pair = F.when(after.isNotNull(), F.concat("line", F.lit("\n"), after))
-    # Fewer characters cannot be so many words.
-    long = F.when((F.char_length("line") > 2 * LONG_WORDS) & (F.regexp_count("line", F.lit("[^ ]+")) > LONG_WORDS), F.col("line"))
-    passages = placed.select("_id", "_hash", "place", F.posexplode(F.array(long, pair)).alias("more", "passage"))
-    order = _order(F.col("_id"), F.col("place"))
-    digest = F.unhex(F.sha2("passage", 256)).alias("digest")
-    return passages.where("passage is not null").select("_id", "_hash", "place", "more", order.alias("order"), digest)
-
-
-def _order(doc_id: Column, place: Column) -> Column:
-    """The order of (id, place) as one number of fixed width."""
-    ranked = F.coalesce(doc_id.cast(ORDER), F.lit(str(1 << 63)).cast(ORDER))
-    return (ranked * F.lit(str(1 << 32)).cast("decimal(10,0)") + place).cast(ORDER)
-
-
-def _copies(rows: DataFrame) -> DataFrame:
-    """`c_id, c_hash` of texts that a smaller id has, byte for byte (by SHA-256)."""
-    marks = keep(rows.where("_text is not null").select("_id", "_hash", F.sha2("_text", 256).alias("digest")), "texts")
-    first = marks.groupBy("digest").agg(F.count("*").alias("n"), F.min("_id").alias("first")).where("n > 1 and first is not null")
-    later = marks.join(keep(first.select("digest", "first"), "repeated-texts"), "digest").where("_id is null or _id > first")
-    return later.select(F.col("_id").alias("c_id"), F.col("_hash").alias("c_hash")).distinct()
-
-
-def _line_hash(line: Column) -> Column:
-    return F.conv(F.substring(F.md5(F.encode(line, "UTF-8")), 1, 8), 16, 10).cast("bigint")
-
-
-def _ends(lines: Column, hashes: Column) -> Column:
-    """The places of lines that end a chunk, from 1."""
-
-    def ends(place: Column) -> Column:
-        before = F.coalesce(F.get(hashes, place - 2), F.lit(0))
-        rolled = F.get(hashes, place - 1) + before * STEP
-        return (place == F.size(lines)) | (F.pmod(rolled, F.lit(DIVISOR)) == 0)
+def _same(doc_id: str, text_hash: str) -> Column:
+    return F.col("id").eqNullSafe(F.col(doc_id)) & (F.col("hash") == F.col(text_hash))
 
-    return F.filter(F.sequence(F.lit(1), F.size(lines)), ends)
 
-
-def _chunks(rows: DataFrame) -> DataFrame:
-    """The chunks of `MIN_LINES` lines or more: `_id, _hash, place, order, n_lines, chunk`."""
-    # Each step sits in a one-element generator, so that no later lambda repeats it per element.
-    rows = rows.where("_text is not null")
-    lined = rows.select("_id", "_hash", F.explode(F.array(F.split("_text", "\n", -1))).alias("lines"))
-    hashed = lined.select("*", F.explode(F.array(F.transform("lines", _line_hash))).alias("hashes"))
-    ended = hashed.select("_id", "_hash", "lines", F.explode(F.array(_ends(F.col("lines"), F.col("hashes")))).alias("ends"))
-    spans = ended.select("_id", "_hash", "lines", "ends", F.posexplode("ends").alias("place", "end"))
-    start = F.coalesce(F.get("ends", F.col("place") - 1), F.lit(0))
-    long = spans.withColumn("n_lines", F.col("end") - start).where(F.col("n_lines") >= MIN_LINES)
-    return long.select(
-        "_id",
-        "_hash",
-        "place",
-        _order(F.col("_id"), F.col("place")).alias("order"),
-        "n_lines",
-        F.array_join(F.slice("lines", F.col("end") - F.col("n_lines") + 1, F.col("n_lines")), "\n").alias("chunk"),
+def _repeated(rows: DataFrame) -> DataFrame:
+    """The lines that go: `id, hash, place`."""
+    marks = keep(_windows(rows), "windows")
+    keys = marks.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    asked = (
+        marks.join(keep(keys, "repeated-keys"), "key", "left_semi")
+        .groupBy(F.col("id").alias("a_id"), F.col("hash").alias("a_hash"))
+        .agg(F.collect_set(F.struct("place", "more")).alias("asked"))
     )
+    # Windows whose hashes repeat are compared byte for byte: grouped by what they say.
+    held = rows.join(asked, _same("a_id", "a_hash")).select("id", "hash", "asked", F.explode(F.array(F.split("text", "\n", -1))).alias("lines"))
+
+    def said(at: Column) -> Column:
+        line, after = F.get("lines", at["place"]), F.get("lines", at["place"] + 1)
+        return F.struct(at["place"].alias("place"), at["more"].alias("more"), F.when(at["more"] == 1, F.concat(line, F.lit("\n"), after)).otherwise(line).alias("says"))
+
+    windows = held.select("id", "hash", F.explode(F.transform("asked", said)).alias("window")).select("id", "hash", "window.*")
+    windows = windows.withColumn("order", _order(F.col("id"), F.col("place")))
+    # Places of equal windows come together once, without their text, which is in `digest` and told apart.
+    marked = keep(windows.select("id", "hash", "place", "more", "order", F.sha2("says", 256).alias("digest")), "asked-windows")
+    first = windows.groupBy("more", "says").agg(F.count("*").alias("n"), F.min("order").alias("first")).where("n > 1")
+    first = keep(first.select("more", F.sha2("says", 256).alias("digest"), "first"), "repeated-windows")
+    again = marked.join(first, ["more", "digest"]).where("order <> first")
+    # Both lines of two go, or the one of a long line.
+    return again.select("id", "hash", F.explode(F.sequence("place", F.col("place") + F.col("more"))).alias("place"))
+
+
+def _windows(rows: DataFrame) -> DataFrame:
+    """Every two adjacent lines and every long line: `id, hash, place, more, key`, the key of 64 bits."""
+    lined = rows.where("text is not null").select("id", "hash", F.explode(F.array(F.split("text", "\n", -1))).alias("lines"))
+    # Each step sits in a one-element generator, so that no later lambda repeats it per element.
+    hashed = lined.select("*", F.explode(F.array(F.transform("lines", lambda line: F.xxhash64(line)))).alias("hashes"))
 
+    def window(place: Column, more: int, key: Column) -> Column:
+        return F.struct(place.alias("place"), F.lit(more).alias("more"), key.alias("key"))
 
-def _without(text: Column, gone: Column) -> Column:
-    """The lines of `text` outside the chunks at the places in `gone`."""
+    def rolled(at: Column) -> Column:
+        return window(at, 1, F.xxhash64(F.get("hashes", at), F.get("hashes", at + 1)))
 
-    def bind(value: Column, use):
-        return F.get(F.transform(F.array(value), use), F.lit(0))
+    def is_long(at: Column) -> Column:
+        # Fewer characters cannot be so many words.
+        line = F.get("lines", at)
+        return (F.char_length(line) > 2 * LONG_WORDS) & (F.regexp_count(line, F.lit("[^ ]+")) > LONG_WORDS)
 
-    def cut(lines: Column, ends: Column) -> Column:
-        def left(place: Column) -> Column:
-            start = F.coalesce(F.get(ends, place - 1), F.lit(0))
-            return F.slice(lines, start + 1, F.get(ends, place) - start)
+    n = F.size("lines")
+    pairs = F.when(n > 1, F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>"))
+    long = F.filter(F.sequence(F.lit(0), n - 1), is_long)
+    windows = F.concat(F.transform(pairs, rolled), F.transform(long, lambda at: window(at, 0, F.get("hashes", at))))
+    return hashed.select("id", "hash", F.inline(windows))
 
-        places = F.filter(F.sequence(F.lit(0), F.size(ends) - 1), lambda p: ~F.array_contains(gone, p))
-        return F.flatten(F.transform(places, left))
 
-    return bind(
-        F.split(text, "\n", -1),
-        lambda lines: bind(
-            F.transform(lines, _line_hash),
-            lambda hashes: bind(_ends(lines, hashes), lambda ends: cut(lines, ends)),
-        ),
-    )
+def _order(doc_id: Column, place: Column) -> Column:
+    """The order of (id, place) as one number of fixed width."""
+    ranked = F.coalesce(doc_id.cast(ORDER), F.lit(str(1 << 63)).cast(ORDER))
+    return (ranked * F.lit(str(1 << 32)).cast("decimal(10,0)") + place).cast(ORDER)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,37 +115,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs)
 
 
-def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return dedup_passages(docs)
-
-
 OP9_SQL = """
-WITH l AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
-  FROM documents
-), h AS (
-  SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM l
-), b AS (
-  SELECT *, CASE WHEN (h + 31 * coalesce(lag(h) OVER w, 0)) % 3 = 0 THEN 1 ELSE 0 END AS ends FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)
-), p AS (
-  SELECT *, coalesce(sum(ends) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM b
-), c AS (
-  SELECT doc_id, place, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY i) AS chunk FROM p GROUP BY doc_id, place
-), r AS (
-  SELECT *, n_lines >= 2 AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, place) > 1 AS gone FROM c
-), d AS (
-  SELECT doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS text,
-    count(*) FILTER (WHERE gone) AS chunks_removed,
-    CAST(coalesce(sum(n_lines) FILTER (WHERE gone), 0) AS BIGINT) AS lines_removed
-  FROM r GROUP BY doc_id
-)
-SELECT doc_id, CASE WHEN documents.text IS NULL THEN NULL ELSE d.text END AS text,
-  coalesce(chunks_removed, 0) AS chunks_removed, coalesce(lines_removed, 0) AS lines_removed
-FROM documents LEFT JOIN d USING (doc_id)
-"""
-
-OP9_PASSAGES_SQL = """
 WITH l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
   FROM documents

@@ -48,7 +48,7 @@ def train(
     words = (
         docs.select("doc_id", "text")
         .join(F.broadcast(known.where(some)), "doc_id")
-        .select("domain", F.explode(_word_bins(F.col("text"))).alias("bin"))
+        .select("domain", F.explode(_bins(_words(F.col("text")))).alias("bin"))
     )
     counts = np.full((len(domains), BINS), SMOOTHING)
     for row in words.groupBy("domain", "bin").agg(F.count("*").alias("n")).collect():
@@ -61,8 +61,8 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w != "")
 
 
-def _word_bins(text: Column) -> Column:
-    return F.transform(F.array_distinct(_words(text)), lambda w: F.pmod(F.xxhash64(w), F.lit(BINS)).cast("int"))
+def _bins(words: Column) -> Column:
+    return F.transform(F.array_distinct(words), lambda w: F.pmod(F.xxhash64(w), F.lit(BINS)).cast("int"))
 
 
 def memberships(docs: DataFrame, priors: np.ndarray, likelihoods: np.ndarray, text: str = "text") -> DataFrame:
@@ -72,25 +72,23 @@ def memberships(docs: DataFrame, priors: np.ndarray, likelihoods: np.ndarray, te
     independent: a text belongs to several domains in part. A text without words has the priors.
     """
     table = F.from_json(F.lit(json.dumps(np.round(likelihoods - likelihoods.mean(axis=0), 9).T.tolist())), "array<array<double>>")
-    # Words and bins sit in generators, so that no lambda works them out again.
-    split = docs.select("*", F.explode(F.array(_words(F.col(text)))).alias("_words"))
-    binned = split.select(
-        *docs.columns,
-        F.size("_words").cast("bigint").alias("n_tokens"),
-        F.explode(F.array(F.transform(F.array_distinct("_words"), lambda w: F.pmod(F.xxhash64(w), F.lit(BINS)).cast("int")))).alias("_bins"),
-    )
-    n = F.size("_bins")
-    weight = F.least(F.lit(1.0), EVIDENCE_WORDS / F.greatest(n, F.lit(1)))
+    # The columns of `docs` travel in one of ours, so that no name of theirs meets a name of ours. Words
+    # and bins sit in generators, so that no lambda works them out again.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.explode(F.array(_words(F.col(f"`{text}`")))).alias("words"))
+    binned = rows.select("row", F.size("words").cast("bigint").alias("n_tokens"), F.explode(F.array(_bins(F.col("words")))).alias("bins"))
+    weight = F.least(F.lit(1.0), EVIDENCE_WORDS / F.greatest(F.size("bins"), F.lit(1)))
 
     def evidence(d: int) -> Column:
-        total = F.aggregate("_bins", F.lit(0.0), lambda sum_, b: sum_ + F.get(F.get(table, b), F.lit(d)))
+        total = F.aggregate("bins", F.lit(0.0), lambda sum_, b: sum_ + F.get(F.get(table, b), F.lit(d)))
         return total * weight + float(priors[d])
 
-    scored = binned.select("*", F.explode(F.array(F.array(*[evidence(d) for d in range(len(priors))]))).alias("_evidence"))
-    top = F.array_max("_evidence")
-    likely = scored.select(*docs.columns, "n_tokens", F.explode(F.array(F.transform("_evidence", lambda e: F.exp(e - top)))).alias("_likely"))
-    total = F.aggregate("_likely", F.lit(0.0), lambda a, b: a + b)
-    return likely.withColumn("membership", F.transform("_likely", lambda x: x / total)).drop("_likely")
+    scored = binned.select("row", "n_tokens", F.explode(F.array(F.array(*[evidence(d) for d in range(len(priors))]))).alias("evidence"))
+    top = F.array_max("evidence")
+    likely = scored.select("row", "n_tokens", F.explode(F.array(F.transform("evidence", lambda e: F.exp(e - top)))).alias("likely"))
+    total = F.aggregate("likely", F.lit(0.0), lambda a, b: a + b)
+    new = likely.select("row", F.struct("n_tokens", F.transform("likely", lambda x: x / total).alias("membership")).alias("new"))
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("n_tokens", "membership")]
+    return new.select(*kept, "new.n_tokens", "new.membership")
 
 
 def fit_rates(members: DataFrame, target: np.ndarray, rounds: int = ROUNDS) -> tuple[Column, dict]:
@@ -159,8 +157,9 @@ def draw(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """
     chance = F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit("draw")), 11) / float(1 << 53)
     copies = F.floor(F.col("rate") + chance).cast("int")
-    times = F.explode(F.array_repeat(F.lit(1), copies)).alias("_copy")
-    return mixed.where(copies > 0).select(*columns, times).drop("_copy")
+    row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
+    drawn = mixed.where(copies > 0).select(row, F.explode(F.array_repeat(F.lit(1), copies)).alias("copy"))
+    return drawn.select(*[F.col("row").getField(c).alias(c) for c in columns])
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ QUERIES = {
     "op7_jaccard_join": jaccard.op7,
     "op8_token_counts": tokens.op8,
     "op9_line_dedup": lines.op9,
+    "op9_passage_dedup": lines.op9,  # its older name for the form that finds passages
     "op10_language_id": langid.op10,
     "op11_word_bpe": wordbpe.op11,
     "op12_conversation_repair": conversations.op12,
@@ -26,5 +27,6 @@ ORACLE = {
     "op5_embedding_dedup": embed.OP5_SQL,
     "op7_jaccard_join": jaccard.OP7_SQL,
     "op9_line_dedup": lines.OP9_SQL,
+    "op9_passage_dedup": lines.OP9_SQL,
     "op13_collocations": collocations.OP13_SQL,
 }

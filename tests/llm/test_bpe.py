@@ -66,6 +66,13 @@ def test_the_native_fold_over_distinct_words(spark, ranks, standard):
         assert row.ids == (standard._core_bpe.encode_single_piece(row.word.encode()) if row.word else [])
 
 
+def test_the_native_fold_keeps_columns_of_any_name(spark, ranks, standard):
+    names = ["row", "hex", "_hex", "piece", "pair"]
+    words = spark.createDataFrame([("hello", *names, "old")], ["word", *names, "ids"])
+    row = bpe.encode_words(words, bpe.rank_table(ranks, spark)).first()
+    assert [row[n] for n in names] == names and row.ids == standard.encode_ordinary("hello")
+
+
 def test_no_documents(spark, ranks):
     none = spark.createDataFrame([], "doc_id bigint, text string")
     assert bpe.digests(none, ranks, PATTERN).count() == 0

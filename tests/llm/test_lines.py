@@ -1,60 +1,46 @@
-import hashlib
 import random
 
 from eventfares.llm import lines
 
-SCHEMA = "doc_id bigint, text string, place int, chunk string, digest string, lines_removed string, _extra int"
+SCHEMA = "doc_id bigint, text string, place int, digest string, _extra int"
 
 
-def chunks(text):
-    """Chunks of a text as `(first line, lines)`, by the rule of the docstring."""
-    parts, out, held, before = text.split("\n"), [], [], 0
-    for k, line in enumerate(parts):
-        held.append(line)
-        value = int(hashlib.md5(line.encode()).hexdigest()[:8], 16)
-        if (value + lines.STEP * before) % lines.DIVISOR == 0 or k == len(parts) - 1:
-            out.append(held)
-            held = []
-        before = value
-    return out
+def passages(text):
+    parts = text.split("\n")
+    out = [(k, (k, k + 1), tuple(parts[k : k + 2])) for k in range(len(parts) - 1)]
+    return out + [(k, (k,), x) for k, x in enumerate(parts) if len([w for w in x.split(" ") if w]) > lines.LONG_WORDS]
 
 
 def expected(rows):
-    seen = {}
+    first = {}
     for i, text in rows:
-        for place, chunk in enumerate(chunks(text) if text is not None else []):
-            if len(chunk) >= lines.MIN_LINES:
-                order = (i is None, i or 0, place)
-                key = "\n".join(chunk)
-                n, first = seen.get(key, (0, order))
-                seen[key] = n + 1, min(first, order)
+        for place, _, passage in passages(text) if text is not None else []:
+            order = (i is None, i or 0, place)
+            first[passage] = min(first.get(passage, order), order)
     out = []
     for i, text in rows:
-        left, cut, gone = [], 0, 0
-        for place, chunk in enumerate(chunks(text) if text is not None else []):
-            n, first = seen.get("\n".join(chunk), (0, None))
-            if len(chunk) >= lines.MIN_LINES and n > 1 and first != (i is None, i or 0, place):
-                cut, gone = cut + 1, gone + len(chunk)
-            else:
-                left += chunk
-        out.append((i, None if text is None else "\n".join(left) if cut else text, cut, gone))
+        found = passages(text) if text is not None else []
+        gone = {k for place, at, passage in found for k in at if first[passage] != (i is None, i or 0, place)}
+        left = text if not gone else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone)
+        out.append((i, left, len(gone)))
     return sorted(out, key=str)
 
 
 def found(spark, rows):
-    docs = spark.createDataFrame([(i, t, 1, "c", "d", "e", 2) for i, t in rows], SCHEMA).drop("lines_removed")
+    docs = spark.createDataFrame([(i, t, 1, "d", 2) for i, t in rows], SCHEMA)
     got = lines.dedup_lines(docs)
-    assert got.columns == [*docs.columns, "chunks_removed", "lines_removed"]
-    return sorted([(r.doc_id, r.text, r.chunks_removed, r.lines_removed) for r in got.collect()], key=str)
+    assert got.columns == [*docs.columns, "lines_removed"]
+    return sorted([(r.doc_id, r.text, r.lines_removed) for r in got.collect()], key=str)
 
 
 def test_against_brute_force(spark):
     pick = random.Random(3)
     blocks = ["\n".join(f"line {pick.randrange(1000)} of block {b}" for _ in range(8)) for b in range(3)]
+    long = " ".join(f"w{k}" for k in range(51))
     rows = []
     for i in range(40):
         parts = [f"own line {pick.random()}" for _ in range(pick.randrange(4))]
-        parts.insert(pick.randrange(len(parts) + 1), pick.choice(blocks))
+        parts.insert(pick.randrange(len(parts) + 1), pick.choice([*blocks, long, long[4:]]))
         rows.append((i, "\n".join(parts)))
     rows += [(50, None), (51, ""), (52, "\n\n\n"), (53, "\n\n\n"), (54, rows[0][1]), (None, rows[1][1]), (None, "é 😀\nx")]
     rows += [(55, "\n".join(f"{k % 13}" for k in range(5000))), rows[2], (3, blocks[0] + "\n" + blocks[0])]
@@ -62,12 +48,50 @@ def test_against_brute_force(spark):
     assert sum(r[2] for r in expected(rows)) > 40
 
 
+def test_passages_of_one_to_five_lines_go_at_every_place_but_the_first(spark):
+    """Of more than 50 words each, inside otherwise different documents."""
+    pick, rows = random.Random(5), []
+    line = lambda n: " ".join(f"w{pick.randrange(10**6)}" for _ in range(n))
+    own = {}
+    for n_lines in (1, 2, 3, 4, 5):
+        for _ in range(8):
+            passage = "\n".join(line(60 // n_lines + 1) for _ in range(n_lines))
+            for k in range(3):
+                before, after = line(9), line(9)
+                i = len(rows)
+                rows.append((i, f"{before}\n{passage}\n{after}"))
+                own[i] = rows[-1][1] if k == 0 else f"{before}\n{after}"
+    assert {i: text for i, text, _ in found(spark, rows)} == own
+
+
+def test_whole_copies_become_empty(spark):
+    text = "\n".join(f"line {k}" for k in range(7))
+    assert [r[1:] for r in found(spark, [(1, text), (2, text), (3, f"own\n{text}")])] == [(text, 0), ("", 7), ("own", 7)]
+
+
 def test_empty(spark):
     assert found(spark, []) == []
 
 
-def test_an_insertion_moves_only_neighbouring_boundaries():
-    text = [f"line {k}" for k in range(60)]
-    moved = [*text[:30], "inserted", *text[30:]]
-    before, after = ({tuple(c) for c in chunks("\n".join(t))} for t in (text, moved))
-    assert len(before - after) <= 2
+def test_long_texts(spark):
+    text = "\n".join(f"line {k}" for k in range(60_000))
+    docs = spark.createDataFrame([(1, text), (2, f"{text}\nown"), (3, "x " * 100_000)], "doc_id bigint, text string")
+    left = {r.doc_id: (r.text, r.lines_removed) for r in lines.dedup_lines(docs).collect()}
+    assert left == {1: (text, 0), 2: ("own", 60_000), 3: ("x " * 100_000, 0)}
+
+
+INTERNAL = ["row", "id", "hash", "gone", "lines", "hashes", "place", "more", "key", "n", "asked", "window", "says", "order", "digest"]
+INTERNAL += ["first", "g_id", "g_hash", "a_id", "a_hash", "_id", "_text", "_hash", "_gone", "_left", "_copy", "_lines", "chunks_removed", "with.dot"]
+
+
+def test_columns_of_any_name_come_back_as_they_were(spark):
+    rows = [(1, "a\nb\nc", 7, *[f"1 {c}" for c in INTERNAL]), (2, "a\nb\nd", 8, *[f"2 {c}" for c in INTERNAL])]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lines_removed", *INTERNAL])
+    got = lines.dedup_lines(docs)
+    assert got.columns == ["doc_id", "text", *INTERNAL, "lines_removed"]
+    assert sorted(map(tuple, got.collect())) == [(1, "a\nb\nc", *rows[0][3:], 0), (2, "d", *rows[1][3:], 2)]
+
+
+def test_other_names_for_id_and_text(spark):
+    docs = spark.createDataFrame([(1, "a\nb", "t"), (2, "a\nb\nd", "t")], "id int, says string, text string")
+    assert sorted(map(tuple, lines.dedup_lines(docs, "id", "says").collect())) == [(1, "a\nb", "t", 0), (2, "d", "t", 2)]

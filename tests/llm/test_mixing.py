@@ -74,3 +74,18 @@ def test_without_labels_and_without_documents(spark):
     none = mixing.mix(docs, labels.where("false")).collect()
     assert all(np.allclose(r.membership, 1 / 3) for r in none)
     assert mixing.mix(docs.where("false"), labels).count() == 0
+
+
+def test_columns_of_any_name_come_back_as_they_were(spark):
+    names = ["row", "words", "bins", "evidence", "likely", "copy", "_words", "_bins", "_evidence", "_likely", "_copy"]
+    docs, labels = corpus(spark)
+    more = docs.select("doc_id", "text", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names])
+    columns = more.columns
+    mixed = keep(mixing.mix(more, labels), "m")
+    assert mixed.columns == [*columns, "n_tokens", "membership", "rate"]
+    assert sorted(mixed.select(columns).collect(), key=str) == sorted(more.collect(), key=str)
+    assert sorted(map(tuple, mixed.select("doc_id", "rate").collect()), key=str) == sorted(
+        map(tuple, mixing.mix(docs, labels).select("doc_id", "rate").collect()), key=str
+    )
+    drawn = mixing.draw(mixed, columns)
+    assert drawn.columns == columns and drawn.where("doc_id is not null and row <> concat('row', doc_id)").count() == 0
