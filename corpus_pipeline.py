@@ -17,20 +17,24 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated chunks of lines; documents that have nothing left go.
-
-    A copy of a document of smaller id goes as a whole if it has a chunk to lose. Left as a fragment,
-    it would no longer be similar to the first copy. Other copies are whole, and left to the next stage.
-    """
-    found = lines.dedup_lines(docs, copies=True).where("text <> '' or chunks_removed = 0")
-    touched = F.col("chunks_removed") > 0
-    n_chars = F.when(touched, F.char_length("text")).otherwise(F.col("n_chars")).cast("bigint")
-    return found.withColumn("n_chars", n_chars).select(*docs.columns)
+    """Texts without the runs of lines that occur before; documents that have nothing left go."""
+    asked = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    found = lines.dedup_lines(asked).where("text <> '' or lines_removed = 0")
+    n_chars = F.when(F.col("lines_removed") > 0, F.char_length("text")).otherwise(F.col("row.n_chars")).cast("bigint")
+    new = {"text": F.col("text"), "n_chars": n_chars}
+    return found.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one of the smallest id."""
-    return jaccard.keep_one(docs)
+    """One document of each group of near duplicates, the one of the smallest id.
+
+    Line dedup leaves of a near copy the lines that differ, which are like nothing any more. So
+    documents are judged by their texts as they came, and those that are left by what is left of them.
+    """
+    came = spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("doc_id").agg(F.max("text").alias("came"))
+    judged = docs.select("doc_id", "text").join(came, "doc_id", "left")
+    whole = jaccard.keep_one(docs, judged.select("doc_id", F.coalesce("came", "text").alias("text")))
+    return jaccard.keep_one(keep(whole, "judged-whole"))
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
