@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventfares.functions.scalars import day_range
@@ -127,3 +127,32 @@ def latest(
     """The most recently arrived fare of each cell; of fares that arrived together, the highest."""
     last = flights.groupBy(*(keys or CELL)).agg(F.max(F.struct(arrival, price)).alias("_last"))
     return last.select(*(keys or CELL), f"_last.{price}", f"_last.{arrival}")
+
+
+def validity(history: DataFrame, arrival: str = "arrival", price: str = "price") -> DataFrame:
+    """Each cell's prices over a series of snapshots: a row for every run of snapshots that follow
+    each other with the same price, `first_seen`, `last_seen` and `n_snapshots`.
+
+    `history` has the fares of each snapshot with the time it arrived. A snapshot that lacks a cell
+    ends its run, and one that has it twice counts with its highest price. Snapshots are numbered by
+    their times alone, of which there is one row each; the runs of a cell are found among its own
+    rows, at most one for each snapshot.
+    """
+    seen = history.groupBy(*CELL, arrival).agg(F.max(price).alias(price))
+    times = history.select(arrival).distinct()
+    numbers = times.select(F.col(arrival).alias("_time"), F.row_number().over(Window.orderBy(arrival)).alias("_number"))
+    numbered = seen.join(numbers, F.col(arrival) == F.col("_time"))
+    along = Window.partitionBy(*CELL).orderBy("_number")
+    follows = (F.lag("_number").over(along) == F.col("_number") - 1) & F.lag(price).over(along).eqNullSafe(F.col(price))
+    started = numbered.withColumn("_starts", F.when(follows, 0).otherwise(1))
+    runs = started.withColumn("_run", F.sum("_starts").over(along))
+    return (
+        runs.groupBy(*CELL, "_run")
+        .agg(
+            F.max(price).alias(price),
+            F.min(arrival).alias("first_seen"),
+            F.max(arrival).alias("last_seen"),
+            F.count("*").alias("n_snapshots"),
+        )
+        .drop("_run")
+    )

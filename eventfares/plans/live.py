@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventfares.schemas import CONCERTS, CORRUPT, FLIGHTS
-from eventfares.settings import ARRIVAL_DELAY, BATCH_INTERVAL, clear, session
+from eventfares.settings import ARRIVAL_DELAY, BATCH_INTERVAL, clear, exists, session
 from eventfares.sources import feeds
-from eventfares.sources.sinks import to_console, write_documents
+from eventfares.sources.sinks import batches_to, print_rows, to_console, to_documents, write_documents
+from eventfares.streaming.averages import write_each_average
+from eventfares.streaming.hot import Salts, decide, decided, write_sketches
 from eventfares.streaming.join import join_feeds, join_totals, write_matches
+from eventfares.streaming.latest import feeds_as_one, write_latest_averages
 from eventfares.streaming.run import LateRows, late_rows, start
-from eventfares.streaming.state import rocksdb_state, running_avg, running_avg_per_record
+from eventfares.streaming.state import running_avg
 
 READERS = {"concerts": feeds.read_concerts_stream, "fares": feeds.read_flights_stream}
 RECORDS = {"concerts": CONCERTS, "fares": FLIGHTS}
@@ -74,22 +77,52 @@ def start_matching(
     once: bool = False,
     max_files: int | None = None,
     each_record: bool = False,
+    tasks: int | None = None,
 ) -> StreamingQuery:
     """Tables of records to a table of matches: totals, or with `each_record` a row per fare and date.
 
     `max_files` bounds what a batch reads of each table. The join waits for the slower feed: rows
-    leave its state by the earlier of both feeds' times.
+    leave its state by the earlier of both feeds' times. With `each_record`, a city with a share of
+    the fares (see `start_sketching`) is dealt out over that share of `tasks`, by default as many as
+    a shuffle has. Shares are looked at when the query starts.
     """
     both = [_accepted(spark, feed, work, max_files) for feed in READERS]
     pace = {"interval": interval, "delay": delay}
     if each_record:
-        matches = join_feeds(*both, **pace).select("event_city", "event_date", "price", "weight")
+        tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        salts = _salts(spark, work, interval, tasks)
+        matches = join_feeds(*both, salts=salts, **pace).select("event_city", "event_date", "price", "weight")
     else:
         matches = join_totals(*both, **pace)
     writer = write_matches(matches, f"{work}/matches")
     return start(writer, f"{work}/checkpoints/matches", interval, once)
 
 
+def start_sketching(
+    spark: SparkSession, work: str, interval: str = BATCH_INTERVAL, once: bool = False, max_files: int | None = None
+) -> StreamingQuery:
+    """Sketch which cities the fares of each batch go to."""
+    writer = write_sketches(_accepted(spark, "fares", work, max_files), "end_city", f"{work}/sketches")
+    return start(writer, f"{work}/checkpoints/sketches", interval, once)
+
+
+def _salts(spark: SparkSession, work: str, interval: str, tasks: int) -> Salts:
+    """The salts decided so far, the shares of the last batches included from the next interval on."""
+    decisions = f"{work}/salts"
+    newest = None
+    for feed in READERS:
+        if not exists(spark, f"{work}/records/{feed}/_spark_metadata"):
+            continue  # no batch has been read yet
+        records = spark.read.schema(f"{feeds.ARRIVAL} timestamp, rejected int").parquet(f"{work}/records/{feed}")
+        # Nothing has been read that arrived later than what the tables hold.
+        last = records.agg(F.max(feeds.ARRIVAL).alias("last")).where("last is not null")
+        for row in last.select(F.window("last", interval).end.alias("end")).collect():
+            newest = row.end if newest is None else max(newest, row.end)
+    if newest is not None:
+        decide(spark, f"{work}/sketches", decisions, tasks, newest)
+    return decided(spark, decisions)
+
+
 def start_averaging(
     spark: SparkSession,
     work: str,
@@ -107,9 +140,25 @@ def start_averaging(
     checkpoint = f"{work}/checkpoints/averages"
     if not each_record:
         return start(write_documents(running_avg(matches), documents), checkpoint, interval, once)
-    with rocksdb_state(spark):
-        writer = write_documents(running_avg_per_record(matches), documents, mode="append")
-        return start(writer, checkpoint, interval, once)
+    send = batches_to(documents, "json")
+    writer = write_each_average(matches, f"{work}/sums/averages", lambda rows, batch: send(to_documents(rows), batch))
+    return start(writer, checkpoint, interval, once)
+
+
+def start_latest(
+    spark: SparkSession,
+    work: str,
+    documents: str,
+    interval: str = BATCH_INTERVAL,
+    once: bool = False,
+    max_files: int | None = None,
+) -> StreamingQuery:
+    """Tables of records to documents of the averages that count each concert once and each fare at
+    its latest price, whenever either arrived. Takes the place of matching and averaging."""
+    both = feeds_as_one(*[_accepted(spark, feed, work, max_files) for feed in READERS])
+    send = batches_to(documents, "json")
+    writer = write_latest_averages(both, f"{work}/latest", lambda rows, batch: send(to_documents(rows), batch))
+    return start(writer, f"{work}/checkpoints/latest", interval, once)
 
 
 def start_showing(
@@ -119,7 +168,7 @@ def start_showing(
     concerts = to_console(_accepted(spark, "concerts", work, None))
     if each_record:
         shown = spark.readStream.schema(RECORD_SCHEMA).parquet(f"{work}/matches")
-        averages = to_console(shown)
+        averages = write_each_average(shown, f"{work}/sums/shown", lambda rows, batch: print_rows(to_documents(rows)))
     else:
         totals = spark.readStream.schema(MATCH_SCHEMA).parquet(f"{work}/matches")
         averages = to_console(running_avg(totals), mode="update")
@@ -141,6 +190,8 @@ def main(arguments: list[str] | None = None) -> None:
     args.add_argument("--retention", type=int, help="leave out what arrived so many seconds ago")
     args.add_argument("--archive", help="move feed files here once they have been read")
     args.add_argument("--each-record", action="store_true", help="a document after every record")
+    args.add_argument("--tasks", type=int, help="with --each-record, tasks that fares are dealt out over")
+    args.add_argument("--latest", action="store_true", help="count concerts once and fares at their latest price")
     args.add_argument("--show", action="store_true", help="print concerts and averages")
     args.add_argument("--once", action="store_true", help="process what is there, then stop")
     given = args.parse_args(arguments)
@@ -158,22 +209,35 @@ def main(arguments: list[str] | None = None) -> None:
             for feed, path in (("concerts", given.concerts), ("fares", given.fares))
         ]
 
+    def sketch() -> list[StreamingQuery]:
+        return [start_sketching(spark, given.work, **bounded)]
+
     def match() -> list[StreamingQuery]:
-        return [start_matching(spark, given.work, delay=given.delay, each_record=given.each_record, **bounded)]
+        return [
+            start_matching(
+                spark, given.work, delay=given.delay, each_record=given.each_record, tasks=given.tasks, **bounded
+            )
+        ]
 
     def average() -> list[StreamingQuery]:
         return [start_averaging(spark, given.work, given.documents, each_record=given.each_record, **bounded)]
 
+    def latest() -> list[StreamingQuery]:
+        return [start_latest(spark, given.work, given.documents, **bounded)]
+
     def show() -> list[StreamingQuery]:
-        return start_showing(spark, given.work, each_record=given.each_record, **pace) if given.show else []
+        return start_showing(spark, given.work, each_record=given.each_record, **pace)
 
+    steps = [ingest, latest] if given.latest else [ingest, *[sketch] * given.each_record, match, average]
+    if given.show and not given.latest:
+        steps.append(show)
     if not given.once:
         spark.streams.addListener(LateRows())
-        for step in (ingest, match, average, show):
+        for step in steps:
             step()
         spark.streams.awaitAnyTermination()
         return
-    for step in (ingest, match, average, show):
+    for step in steps:
         queries = step()
         for query in queries:
             query.awaitTermination()

@@ -303,4 +303,39 @@ FROM matches GROUP BY event_city, matches.event_date""",
        count(*) AS n
 FROM matches GROUP BY event_city, matches.event_date""",
 }
+ORACLE["documents_current"] = (
+    _with(CONCERTS, ARRIVALS, MONTHLY_MATCHES)
+    + f"""SELECT event_city, strftime(event_date, '%Y-%m-%dT00:00:00.000Z') AS event_date,
+       {MEAN} AS avg_price
+FROM matches GROUP BY event_city, matches.event_date"""
+)
+ORACLE["stream_clock"] = (
+    _with(ARRIVALS) + "SELECT end_city, count(*) AS n, CAST(sum(cents) AS BIGINT) AS total FROM arrivals GROUP BY end_city"
+)
+ORACLE["feed_stamps"] = "SELECT strftime(ts, '%Y%m%d%H%M%S') AS stamp, count(*) AS n FROM events GROUP BY ALL"
+ORACLE["fare_validity"] = (
+    _with(FLIGHTS, SNAPSHOTS)
+    + """, history AS (
+  SELECT *, 1 AS number FROM old UNION ALL SELECT *, 2 FROM new UNION ALL SELECT *, 3 FROM new UNION ALL SELECT *, 4 FROM old
+), runs AS (
+  SELECT *, number - row_number() OVER (PARTITION BY start_city, end_city, flight_date, cents ORDER BY number) AS run FROM history
+)
+SELECT start_city, end_city, CAST(flight_date AS VARCHAR) AS flight_date, cents,
+       CAST(min(number) * 10 AS INTEGER) AS first_seen, CAST(max(number) * 10 AS INTEGER) AS last_seen, count(*) AS n_snapshots
+FROM runs GROUP BY start_city, end_city, runs.flight_date, cents, run"""
+)
+ORACLE["page_gaps"] = (
+    _with(CONCERTS)
+    + """, sizes AS (
+  SELECT event_city AS city, count(*) AS total, CAST(ceil(count(*) / 50) AS BIGINT) AS n_pages FROM concerts GROUP BY ALL
+), pages AS (
+  SELECT city, total, unnest(range(1, n_pages + 1)) AS page FROM sizes
+), lost AS (
+  SELECT *, page - row_number() OVER (PARTITION BY city ORDER BY page) AS run FROM pages
+  WHERE NOT (page % 7 <> 3 AND page % 11 NOT IN (5, 6))
+)
+SELECT city, min(page) AS first_page, max(page) AS last_page, least(max(page) * 50, max(total)) - (min(page) - 1) * 50 AS n_entries
+FROM lost GROUP BY city, run"""
+)
+ORACLE["stream_average_fares_latest"] = ORACLE["average_fares_latest"]
 ORACLE["running_avg_split"] = ORACLE["running_avg"]

@@ -13,14 +13,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventfares.functions.scalars import zero_below
+from eventfares.functions.scalars import compact_stamp, zero_below
 from eventfares.operators import aggs, events, fares, joins, ordering
 from eventfares.plans import batch, tables
 from eventfares.plans import concert_feed as feed_plan
 from eventfares.settings import FARE_DAYS, keep, new_path
 from eventfares.sources import feeds, pages, parse, sinks
 from eventfares.streaming import join as stream_join
-from eventfares.streaming import run, state
+from eventfares.streaming import averages, latest, run, state
 
 CENTS = 100.0
 SNAPSHOT_TIME = datetime(2018, 10, 31, tzinfo=timezone.utc)
@@ -293,14 +293,19 @@ def _fare_totals(flights):
     )
 
 
+def _feed_snapshots(spark, sf_dir):
+    """A full snapshot, one of returned fares, and the changes from the first to the second."""
+    old, new = (s.withColumn("price", F.col("cents") / 100) for s in _snapshots(spark, sf_dir))
+    return sinks.fare_snapshot(old), sinks.fare_snapshot(new), sinks.fare_changes(fares.diff(old, new))
+
+
 def _write_snapshots(spark, sf_dir, path):
     """An expired snapshot of returned fares, a full one, and the changes to it, as one feed."""
-    fares_of = lambda s: s.withColumn("price", F.col("cents") / 100)
-    old, new = (fares_of(s) for s in _snapshots(spark, sf_dir))
+    old, new, changes = _feed_snapshots(spark, sf_dir)
     second = timedelta(seconds=1)
-    sinks.write_feed(sinks.fare_snapshot(new), path, SNAPSHOT_TIME - 300 * second)
-    sinks.write_feed(sinks.fare_snapshot(old), path, SNAPSHOT_TIME - 100 * second)
-    sinks.write_feed(sinks.fare_changes(fares.diff(old, new)), path, SNAPSHOT_TIME)
+    sinks.write_feed(new, path, SNAPSHOT_TIME - 300 * second)
+    sinks.write_feed(old, path, SNAPSHOT_TIME - 100 * second)
+    sinks.write_feed(changes, path, SNAPSHOT_TIME)
 
 
 def snapshot_and_changes(spark, sf_dir):
@@ -557,8 +562,8 @@ def stream_event_fare_avg(spark, sf_dir):
     totals = stream_join.join_totals(
         *_table_feeds(spark, sf_dir), interval=STREAM_INTERVAL, delay=STREAM_DELAY
     )
-    averages = state.running_avg(_run_matching(spark, totals, base), CENTS)
-    run.run_once(sinks.write_documents(averages, f"{base}/documents"), f"{base}/checkpoints/averages")
+    averaged = state.running_avg(_run_matching(spark, totals, base), CENTS)
+    run.run_once(sinks.write_documents(averaged, f"{base}/documents"), f"{base}/checkpoints/averages")
     documents = spark.read.schema(
         "event_city string, event_date string, avg_price double, batch bigint"
     ).json(f"{base}/documents")
@@ -575,10 +580,8 @@ def stream_running_avg_per_record(spark, sf_dir):
         *_table_feeds(spark, sf_dir), interval=STREAM_INTERVAL, delay=STREAM_DELAY
     ).select(*state.KEY, "price", "weight")
     pairs = _run_matching(spark, matches, base)
-    each = state.running_avg_per_record(pairs, CENTS)
-    writer = each.writeStream.outputMode("append").format("parquet").option("path", f"{base}/each")
-    with state.rocksdb_state(spark):
-        run.run_once(writer, f"{base}/checkpoints/each")
+    each = averages.write_each_average(pairs, f"{base}/sums", sinks.batches_to(f"{base}/each"), CENTS)
+    run.run_once(each, f"{base}/checkpoints/each")
     rows = spark.read.schema(state.AVERAGES).parquet(f"{base}/each")
     last = rows.groupBy(*state.KEY).agg(
         F.max_by("avg_price", "n").alias("avg_price"),
@@ -587,6 +590,84 @@ def stream_running_avg_per_record(spark, sf_dir):
     return _text_dates(last)
 
 
+def stream_average_fares_latest(spark, sf_dir):
+    """The average with each concert once and each fare at its latest price, from feeds that are read
+    as they grow: the changes come after a restart, and take the prices back that they replace."""
+    base = new_path(spark, "stream-latest")
+    concerts = sinks.concert_snapshot(tables.concerts(spark, sf_dir))
+    old, new, changes = _feed_snapshots(spark, sf_dir)
+    second = timedelta(seconds=1)
+    for snapshots in ([(new, 300), (old, 100)], [(changes, 0)]):
+        sinks.write_feed(concerts, f"{base}/concerts", SNAPSHOT_TIME - snapshots[0][1] * second)
+        for fares_sent, ago in snapshots:
+            sinks.write_feed(fares_sent, f"{base}/fares", SNAPSHOT_TIME - ago * second)
+        both = latest.feeds_as_one(
+            parse.accepted(feeds.read_concerts_stream(spark, f"{base}/concerts")),
+            parse.accepted(feeds.read_flights_stream(spark, f"{base}/fares")),
+        )
+        writer = latest.write_latest_averages(both, f"{base}/state", sinks.batches_to(f"{base}/averages"))
+        run.run_once(writer, f"{base}/checkpoint")
+    rows = spark.read.schema("event_city string, event_date date, avg_price double, n bigint, batch bigint").parquet(f"{base}/averages")
+    last = rows.groupBy("event_city", "event_date").agg(F.max_by(F.struct("avg_price", "n"), "batch").alias("last"))
+    return _text_dates(last.select("event_city", "event_date", "last.*"))
+
+
+def documents_current(spark, sf_dir):
+    """The documents of several batches, merged along the way into one for each city and date."""
+    base = new_path(spark, "stream-current")
+    totals = stream_join.join_totals(*_table_feeds(spark, sf_dir), interval=STREAM_INTERVAL, delay=STREAM_DELAY)
+    schema = totals.schema
+    run.run_once(stream_join.write_matches(totals, f"{base}/matches"), f"{base}/checkpoints/matches")
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 3)
+    sent = sinks.sent_once(f"{base}/ledger", sinks.batches_to(f"{base}/documents", "json"))
+
+    def send(documents, batch_id):
+        sent(documents, batch_id)
+        if batch_id % 2:
+            sinks.compact_documents(spark, f"{base}/documents")
+
+    averaged = state.running_avg(reader.parquet(f"{base}/matches"), CENTS)
+    run.run_once(sinks.write_documents(averaged, "", write=send), f"{base}/checkpoints/averages")
+    return sinks.current_documents(spark, f"{base}/documents").drop("batch")
+
+
+def stream_clock(spark, sf_dir):
+    """Fares taken in by the processing-time clock, by a query that is stopped and started again."""
+    base = new_path(spark, "stream-clock")
+    arrivals = tables.arrivals(spark, sf_dir, tables.table_stream(spark, sf_dir, "lineitem"))
+    for _ in range(2):
+        writer = arrivals.writeStream.format("parquet").option("path", f"{base}/fares")
+        query = run.start(writer, f"{base}/checkpoint", interval="1 second")
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    read = spark.read.schema(arrivals.schema).parquet(f"{base}/fares")
+    return read.groupBy("end_city").agg(F.count("*").alias("n"), F.sum("cents").alias("total"))
+
+
+def feed_stamps(spark, sf_dir):
+    """The compact stamps of the times of events, and how many events share each."""
+    times = tables.table(spark, sf_dir, "events").select(compact_stamp(F.col("ts").cast("timestamp")).alias("stamp"))
+    return times.groupBy("stamp").agg(F.count("*").alias("n"))
+
+
+def fare_validity(spark, sf_dir):
+    """How long each fare was valid, over a series of four snapshots."""
+    old, new = _snapshots(spark, sf_dir)
+    series = [s.withColumn("snapshot", F.lit(k)) for k, s in ((10, old), (20, new), (30, new), (40, old))]
+    return _text_dates(fares.validity(reduce(DataFrame.unionByName, series), "snapshot", "cents"))
+
+
+def page_gaps(spark, sf_dir):
+    """Listing pages of each city, of which some did not come: what is missing."""
+    path = new_path(spark, "paged")
+    came = tables.paged_bodies(spark, sf_dir).where("page % 7 <> 3 and page % 11 not in (5, 6)")
+    came.select("city", "body").write.json(path)
+    read = spark.read.schema("city string, body string").json(path)
+    return pages.missing_pages(pages.page_numbers(read), "city")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -636,5 +717,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         setlist_songs,
         stream_event_fare_avg,
         stream_running_avg_per_record,
+        stream_average_fares_latest,
+        documents_current,
+        stream_clock,
+        feed_stamps,
+        fare_validity,
+        page_gaps,
     )
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 PAGE_EVENTS = 50
@@ -101,6 +101,24 @@ def event_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.mapInPandas(_bind, "body string")
 
 
+def paged_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`city, page, body`: the listing of each city's events in pages that say their numbers."""
+    orders = table(spark, sf_dir, "orders").join(_artists(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+    numbered = orders.select(
+        F.col("home_city").alias("city"),
+        "o_orderkey",
+        (F.row_number().over(Window.partitionBy("home_city").orderBy("o_orderkey")) - 1).alias("place"),
+        F.count("*").over(Window.partitionBy("home_city")).alias("total"),
+    )
+    pages = numbered.groupBy("city", "total", F.expr(f"place div {PAGE_EVENTS} + 1").alias("page")).agg(
+        F.collect_list(F.struct(F.col("o_orderkey").alias("id"))).alias("event")
+    )
+    numbers = F.struct(
+        "page", F.lit(PAGE_EVENTS).alias("perPage"), F.col("total").alias("totalEntries"), F.struct("event").alias("results")
+    )
+    return pages.select("city", "page", F.to_json(F.struct(numbers.alias("resultsPage"))).alias("body"))
+
+
 def _bind(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Consecutive events of a task onto pages, by putting their JSON side by side."""
     for batch in batches:

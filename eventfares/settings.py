@@ -75,10 +75,35 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system that holds `path`, and the path there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete what is at a path of `new_path`."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    files, at = _files(spark, path)
+    files.delete(at, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at `path`."""
+    files, at = _files(spark, path)
+    return files.exists(at)
+
+
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    """Give what is at `path` the name `target`, which nothing may have."""
+    files, at = _files(spark, path)
+    if not files.rename(at, _files(spark, target)[1]):
+        raise FileExistsError(target)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Leave an empty file at `path`."""
+    files, at = _files(spark, path)
+    files.create(at, True).close()
 
 
 def clear(spark: SparkSession) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +54,42 @@ def setlist_items(setlists: DataFrame) -> DataFrame:
     )
 
 
+def page_numbers(bodies: DataFrame) -> DataFrame:
+    """The columns of `bodies` but the body, with the `page`, `per_page` and `total` that it says.
+
+    Numbers that are missing or no whole numbers are null.
+    """
+    others = [c for c in bodies.columns if c != "body"]
+    said = {"page": "page", "per_page": "perPage", "total": "totalEntries"}
+    return bodies.select(*others, *[F.get_json_object("body", f"$.resultsPage.{field}").try_cast("bigint").alias(name) for name, field in said.items()])
+
+
+def missing_pages(numbers: DataFrame, *request: str) -> DataFrame:
+    """The pages of each request that did not come: `request..., first_page, last_page, n_entries`, a
+    row for every range of them.
+
+    `numbers` are the `page_numbers` of the pages that came. A request has as many pages as its
+    greatest total takes at its greatest number of entries a page; a page that came twice counts
+    once. Of a request without any page, or with none that says these numbers, nothing is known.
+    """
+    known = numbers.where("page > 0 and per_page > 0 and total >= 0")
+    pages = known.groupBy(*request, "page").agg(F.max("per_page").alias("per_page"), F.max("total").alias("total"))
+    sizes = pages.groupBy(*request).agg(F.max("per_page").alias("per_page"), F.max("total").alias("total"))
+    sizes = sizes.withColumn("n_pages", F.ceil(F.col("total") / F.col("per_page")).cast("bigint"))
+    # A page before the first and one after the last, so that all that is missing lies between two.
+    ends = sizes.select(*request, F.explode(F.array(F.lit(0).cast("bigint"), F.col("n_pages") + 1)).alias("page"))
+    places = pages.select(*request, "page").unionByName(ends)
+    after = F.lead("page").over(Window.partitionBy(*request).orderBy("page"))
+    gaps = places.withColumn("_after", after).where(F.col("_after") > F.col("page") + 1)
+    size = sizes.select(*[F.col(c).alias(f"_{c}") for c in request], "per_page", "total", "n_pages")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in request]
+    found = gaps.join(size, same).select(
+        *request, (F.col("page") + 1).alias("first_page"), (F.col("_after") - 1).alias("last_page"), "per_page", "total", "n_pages"
+    )
+    entries = F.least(F.col("last_page") * F.col("per_page"), "total") - (F.col("first_page") - 1) * F.col("per_page")
+    return found.where("first_page <= n_pages").select(*request, "first_page", "last_page", entries.alias("n_entries"))
+
+
 def _decode(bodies: DataFrame, enclosure: str, item: str) -> tuple[DataFrame, DataFrame]:
     """Items, and what is set aside with its reason: whole pages, and items that do not fit."""
     others = [c for c in bodies.columns if c != "body"]

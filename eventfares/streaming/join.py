@@ -11,6 +11,7 @@ from eventfares.functions.scalars import days_before
 from eventfares.settings import ARRIVAL_DELAY, BATCH_INTERVAL, DAYS_BEFORE
 from eventfares.sources.feeds import ARRIVAL
 from eventfares.streaming.combine import combine
+from eventfares.streaming.hot import Salts
 
 
 def join_feeds(
@@ -19,7 +20,7 @@ def join_feeds(
     interval: str = BATCH_INTERVAL,
     delay: str = ARRIVAL_DELAY,
     days: int = DAYS_BEFORE,
-    salts: int = 4,
+    salts: int | Salts = 4,
 ) -> DataFrame:
     """Fares with the concert dates they serve, where fare and concerts arrived in one `interval`.
 
@@ -33,20 +34,25 @@ def join_feeds(
     What comes later still is dropped and counted (see `run.late_rows`).
 
     A state key belongs to one task, so a hot one is dealt out over `salts` tasks: each fare to one
-    of them by its content, and the concerts' count to all.
+    of them by its content, and the concerts' count to all. `hot.decided` gives each city a number of
+    its own; a number for all cities copies the concerts of those that need none.
     """
+    if isinstance(salts, int):
+        n_salts = lambda city, start: F.lit(salts).cast("long")
+    else:
+        n_salts = lambda city, start: salts(city, start).cast("long")
     held = combine(concerts, interval, ["event_city", "event_date"])
     fares = combine(flights, interval, [c for c in flights.columns if c != ARRIVAL])
-    salt = F.pmod(F.xxhash64(*[c for c in flights.columns if c != ARRIVAL]), F.lit(salts))
-    every_salt = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
     wanted = (
         _in_interval(held, interval, delay)
         .withColumnRenamed("n", "_concerts")
         .withColumn("flight_date", F.explode(days_before(F.col("event_date"), days)))
-        .withColumn("_salt", F.explode(every_salt))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), n_salts(F.col("event_city"), F.col("interval.start")) - 1)))
     )
+    content = F.xxhash64(*[c for c in flights.columns if c != ARRIVAL])
     served = (
-        _in_interval(fares.withColumn("_salt", salt), interval, delay)
+        _in_interval(fares, interval, delay)
+        .withColumn("_salt", F.pmod(content, n_salts(F.col("end_city"), F.col("interval.start"))))
         .withColumnRenamed("n", "_fares")
         .withColumnRenamed("end_city", "event_city")
     )

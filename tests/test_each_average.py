@@ -1,0 +1,139 @@
+"""Running averages after every record, with sub-keys that carry offsets."""
+
+import datetime as dt
+import os
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from eventfares.sources import sinks
+from eventfares.streaming import averages, run
+
+from .conftest import day
+
+SCHEMA = "event_city string, event_date date, price bigint, weight bigint"
+NOON = dt.datetime(2018, 11, 1, 12, tzinfo=dt.timezone.utc).timestamp()
+
+
+class Table:
+    """A table that grows by files, each a few records, and a job that averages it."""
+
+    def __init__(self, spark, root):
+        self.spark, self.root, self.files, self.sent = spark, root, 0, []
+
+    def add(self, *records):
+        at = f"{self.root}/new-{self.files}"
+        rows = [(city, day(date), price, weight) for city, date, price, weight in records]
+        self.spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(at)
+        (part,) = [f for f in os.listdir(at) if f.endswith(".parquet")]
+        os.makedirs(f"{self.root}/in", exist_ok=True)
+        to = f"{self.root}/in/{self.files:04}.parquet"
+        os.rename(f"{at}/{part}", to)
+        os.utime(to, (NOON + self.files,) * 2)
+        self.files += 1
+
+    def run(self, checkpoint="ckpt", state="state", max_files=None, **options):
+        reader = self.spark.readStream.schema(SCHEMA)
+        if max_files:
+            reader = reader.option("maxFilesPerTrigger", max_files)
+        send = sinks.batches_to(f"{self.root}/out-{state}")
+        writer = averages.write_each_average(reader.parquet(f"{self.root}/in"), f"{self.root}/{state}", send, **options)
+        run.run_once(writer, f"{self.root}/{checkpoint}")
+        return self.rows(state)
+
+    def rows(self, state="state"):
+        found = self.spark.read.parquet(f"{self.root}/out-{state}").collect()
+        return [(r.batch, r.event_city, str(r.event_date), r.avg_price, r.n) for r in found]
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return Table(spark, tmp_path)
+
+
+def check(rows, records):
+    """Each key's rows go through its records one by one, in some order, and end with all of them."""
+    by_key, expected = defaultdict(list), defaultdict(list)
+    for batch, city, date, mean, n in rows:
+        by_key[city, date].append((batch, n, mean))
+    for city, date, price, weight in records:
+        expected[city, date].append((price, weight))
+    assert by_key.keys() == expected.keys()
+    for key, found in by_key.items():
+        steps, total, count = [], 0.0, 0
+        for _, n, mean in sorted(found):
+            steps.append((round(mean * n - total, 6), n - count))
+            total, count = mean * n, n
+        assert sorted(steps) == sorted((float(p * w), w) for p, w in expected[key])
+
+
+def made(n, city="Dublin"):
+    return [(city, f"2018-11-{1 + k % 3:02}", 7 * k % 101 + 1, k % 4 + 1) for k in range(n)]
+
+
+def test_every_record_once_over_batches_and_restarts(table):
+    records = [*made(200), *made(30, "Rome")]
+    for at in range(0, 230, 46):
+        table.add(*records[at : at + 46])
+    check(table.run(max_files=1, merge_every=2), records)
+    more = made(20)
+    table.add(*more)
+    check(table.run(merge_every=2), records + more)
+
+
+def test_a_hot_city_is_run_by_several_tasks(spark, table):
+    """All fares are of one city and date; still each range of records has a sub-key of its own."""
+    records = [("Dublin", "2018-11-16", k % 50, 1) for k in range(4000)]
+    for at in range(0, 4000, 500):
+        table.add(*records[at : at + 500])
+    confs = {"spark.sql.files.openCostInBytes": "1", "spark.sql.files.maxPartitionBytes": "3000", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        batch = spark.read.schema(SCHEMA).parquet(f"{table.root}/in")
+        placed = averages._places(batch, T.DecimalType(38, 0)).cache()
+        sub_keys = placed.groupBy("part").count().collect()
+        assert len(sub_keys) >= 8 and max(r["count"] for r in sub_keys) <= 500
+        parts = placed.groupBy("event_city", "event_date", "part").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+        none = spark.createDataFrame([], averages.sums_of(spark, "", T.DecimalType(38, 0)).schema)
+        found = averages._averages(placed, averages._offsets(parts, none), 1.0)
+        tasks = found.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert len(tasks) >= 4 and max(r["count"] for r in tasks) < 4000 / 2
+        check([(0, r.event_city, str(r.event_date), r.avg_price, r.n) for r in found.collect()], records)
+        placed.unpersist()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_a_batch_that_runs_again_replaces_what_it_left(spark, table):
+    """Two queries on fresh checkpoints, with one state: the second runs the same batches again."""
+    records = made(60)
+    for at in range(0, 60, 20):
+        table.add(*records[at : at + 20])
+    check(table.run("a", max_files=1, merge_every=2), records)
+    check(table.run("b", max_files=1, merge_every=2), records)
+
+
+def test_null_prices_and_null_keys(spark, table):
+    table.add(("Dublin", "2018-11-16", None, 3), ("Dublin", "2018-11-16", 10, 2))
+    table.add((None, "2018-11-16", 4, 1), (None, "2018-11-16", 6, 1))
+    rows = table.run(max_files=1)
+    assert {(r[3], r[4]) for r in rows if r[1] == "Dublin"} == {(None, 0), (10.0, 2)}
+    assert sorted((r[3], r[4]) for r in rows if r[1] is None)[-1] == (5.0, 2)
+    table.add((None, "2018-11-16", 20, 1))
+    assert (10.0, 3) in [(r[3], r[4]) for r in table.run() if r[1] is None]
+
+
+def test_merged_sums_are_those_of_all_batches(spark, tmp_path):
+    sums = averages.sums_of(spark, str(tmp_path), T.DecimalType(38, 0))
+    for batch in range(7):
+        rows = [("Dublin", day("2018-11-16"), 10 + batch, 1), ("Rome", day("2018-11-17"), 1, 1)]
+        sums.add(spark.createDataFrame(rows, "event_city string, event_date date, total long, n long"), batch, merge=batch % 3 == 2)
+    for batch in (5, 6, 7):
+        found = {r.event_city: (int(r.total), r.n) for r in sums.before(batch).collect()}
+        assert found == {"Dublin": (sum(10 + b for b in range(batch)), batch), "Rome": (batch, batch)}
+    assert len(sums._written("added")) == 4 and sums._written("merged") == [2, 5]
