@@ -29,12 +29,22 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """One document of each group of near duplicates, the one of the smallest id.
 
     Line dedup leaves of a near copy the lines that differ, which are like nothing any more. So
-    documents are judged by their texts as they came, and those that are left by what is left of them.
+    documents are judged twice: by their texts as they came, and by what is left of them. Only ids
+    and groups are joined in between; texts are shuffled once, when documents go.
     """
-    came = spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("doc_id").agg(F.max("text").alias("came"))
-    judged = docs.select("doc_id", "text").join(came, "doc_id", "left")
-    whole = jaccard.keep_one(docs, judged.select("doc_id", F.coalesce("came", "text").alias("text")))
-    return jaccard.keep_one(keep(whole, "judged-whole"))
+    came = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    ids = docs.select("doc_id").where("doc_id is not null").distinct()
+    whole = keep(_later(ids, jaccard.near_duplicates(came)), "near-copies")
+    left = ids.join(whole, "doc_id", "left_anti")
+    gone = keep(whole.unionByName(_later(left, jaccard.near_duplicates(docs))), "near-copies")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def _later(ids: DataFrame, found: DataFrame) -> DataFrame:
+    """Those of `ids` that share a group with a smaller one of them."""
+    placed = ids.join(found.select("doc_id", "component_id").distinct(), "doc_id")
+    first = placed.groupBy("component_id").agg(F.min("doc_id").alias("first"))
+    return placed.join(first, "component_id").where("doc_id > first").select("doc_id")
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
