@@ -20,7 +20,7 @@ def join_feeds(
     interval: str = BATCH_INTERVAL,
     delay: str = ARRIVAL_DELAY,
     days: int = DAYS_BEFORE,
-    salts: int | Salts = 4,
+    salts: int | Salts = 1,
 ) -> DataFrame:
     """Fares with the concert dates they serve, where fare and concerts arrived in one `interval`.
 
