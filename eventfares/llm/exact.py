@@ -78,7 +78,7 @@ def build_index(docs: DataFrame, marks: DataFrame) -> DataFrame:
     entries = map_arrow(docs, _combine, _ENTRIES)
     placed = entries.withColumn("cell", cell_of(F.col("key"), depth)).join(F.broadcast(places), "cell")
     chains = (
-        placed.repartition(owners, "owner")
+        placed.repartitionById(owners, "owner")  # a task for each owner
         .groupBy("owner", "bucket", "local_depth", "key", "norm")
         .agg(F.max("keep_id").alias("keep_id"), F.sum("n").alias("group_size"), F.first("sha").alias("sha"))
     )

@@ -54,3 +54,15 @@ def test_overfull_buckets_split_and_the_directory_doubles(spark):
     cells = spark.createDataFrame([(0, 60), (1, 50), (2, 10), (3, 10), (4, 5), (7, 5)], "cell bigint, n_bytes bigint")
     places = {r.cell: (r.bucket, r.local_depth) for r in exact.directory(cells, 3, capacity=60).collect()}
     assert places == {0: (0, 3), 1: (1, 3), 2: (2, 2), 3: (2, 2), 4: (4, 1), 7: (4, 1)}
+
+
+def test_each_owner_task_has_a_range_of_buckets_of_its_own(spark):
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.repeat(F.col("id").cast("string"), 2000)).alias("text"))
+    marks = exact.map_arrow(docs, exact._marks, exact._MARKS)
+    index = exact.build_index(docs, marks)
+    # A file is what an owner's task has written.
+    files = index.groupBy(F.input_file_name().alias("file")).agg(F.min("bucket").alias("low"), F.max("bucket").alias("high"), F.count("*").alias("n"))
+    ranges = sorted((r.low, r.high, r.n) for r in files.collect())
+    assert sum(r[2] for r in ranges) == 6000
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    assert max(r[2] for r in ranges) < 2.5 * 6000 / len(ranges) and len(ranges) > 2
