@@ -15,12 +15,13 @@ from pyspark.sql.streaming import StreamingQuery
 from eventfares.schemas import CONCERTS, CORRUPT, FLIGHTS
 from eventfares.settings import ARRIVAL_DELAY, BATCH_INTERVAL, clear, exists, session
 from eventfares.sources import feeds
-from eventfares.sources.sinks import batches_to, print_rows, to_console, to_documents, write_documents
+from eventfares.sources.sinks import batches_to, folders, print_rows, to_console, to_documents, write_documents
 from eventfares.streaming.averages import write_each_average
 from eventfares.streaming.hot import Salts, decide, decided, write_sketches
 from eventfares.streaming.join import join_feeds, join_totals, write_matches
+from eventfares.streaming.late import batches, late_records, one_watermark
 from eventfares.streaming.latest import feeds_as_one, write_latest_averages
-from eventfares.streaming.run import LateRows, late_rows, start
+from eventfares.streaming.run import LateRows, start
 from eventfares.streaming.state import running_avg
 
 READERS = {"concerts": feeds.read_concerts_stream, "fares": feeds.read_flights_stream}
@@ -94,8 +95,37 @@ def start_matching(
         matches = join_feeds(*both, salts=salts, **pace).select("event_city", "event_date", "price", "weight")
     else:
         matches = join_totals(*both, **pace)
+    keep_late(spark, work, interval)
     writer = write_matches(matches, f"{work}/matches")
-    return start(writer, f"{work}/checkpoints/matches", interval, once)
+    with one_watermark(spark):
+        return start(writer, f"{work}/checkpoints/matches", interval, once)
+
+
+def keep_late(spark: SparkSession, work: str, interval: str = BATCH_INTERVAL) -> None:
+    """Write what matching has dropped as too late since this was last asked to the table of late
+    records: `feed, arrival, record, reason`, the record as JSON."""
+    checkpoint, kept = f"{work}/checkpoints/matches", f"{work}/late"
+    if not exists(spark, f"{checkpoint}/sources"):
+        return
+    done = (folders(spark, kept, "upto") or [-1])[-1]
+    upto = batches(spark, checkpoint).agg(F.max("batch")).first()[0]
+    if upto is None or upto <= done:
+        return
+    found = []
+    for feed, fields in RECORDS.items():
+        accepted = spark.read.schema(f"{fields}, {feeds.ARRIVAL} timestamp, rejected int").parquet(f"{work}/records/{feed}").where("rejected = 0")
+        late = late_records(accepted, checkpoint, interval).where(F.col("batch") > done)
+        record = F.to_json(F.struct(*[c for c in accepted.columns if c not in (feeds.ARRIVAL, "rejected")]))
+        reason = F.concat(F.lit("arrived behind the watermark of "), F.date_format("watermark", "yyyy-MM-dd HH:mm:ss"))
+        found.append(late.select(F.lit(feed).alias("feed"), feeds.ARRIVAL, record.alias("record"), reason.alias("reason")))
+    found[0].unionByName(found[1]).write.mode("overwrite").parquet(f"{kept}/upto={upto}")
+
+
+def late(spark: SparkSession, work: str) -> DataFrame:
+    """The records that matching dropped as too late, as far as `keep_late` has been asked."""
+    held = [f"{work}/late/upto={b}" for b in folders(spark, f"{work}/late", "upto")]
+    schema = f"feed string, {feeds.ARRIVAL} timestamp, record string, reason string"
+    return spark.read.schema(schema).parquet(*held) if held else spark.createDataFrame([], schema)
 
 
 def start_sketching(
@@ -241,8 +271,11 @@ def main(arguments: list[str] | None = None) -> None:
         queries = step()
         for query in queries:
             query.awaitTermination()
-        if late := sum(map(late_rows, queries)):
-            print(f"{late} rows came too late to be matched")
+    if not given.latest:
+        before = late(spark, given.work).count()
+        keep_late(spark, given.work, given.interval)
+        if n_late := late(spark, given.work).count() - before:
+            print(f"{n_late} records came too late to be matched")
     clear(spark)
 
 

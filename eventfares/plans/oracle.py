@@ -309,6 +309,24 @@ ORACLE["documents_current"] = (
        {MEAN} AS avg_price
 FROM matches GROUP BY event_city, matches.event_date"""
 )
+# Arrivals count from the start of their 30 days; a share meets the watermark of those before it.
+ORACLE["late_rows"] = (
+    _with(CONCERTS)
+    + """, rows AS (
+  SELECT 'concerts' AS feed, concert_id AS id, CAST(0 AS BIGINT) AS line, event_date AS day, concert_id % 3 AS share FROM concerts
+  UNION ALL
+  SELECT 'fares', l_orderkey, CAST(l_linenumber AS BIGINT), CAST(l_shipdate AS DATE), (l_linenumber - 1) % 3
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+), placed AS (
+  SELECT *, date_diff('day', DATE '1970-01-01', day) // 30 * 30 AS start FROM rows
+), tops AS (
+  SELECT now.share, feed, max(start) AS top
+  FROM placed JOIN (SELECT unnest([1, 2]) AS share) now ON placed.share < now.share GROUP BY ALL
+), marks AS (
+  SELECT share, min(top) - 400 AS mark FROM tops GROUP BY share
+)
+SELECT feed, id, line, CAST(day AS VARCHAR) AS arrival FROM placed JOIN marks USING (share) WHERE start + 30 <= mark"""
+)
 ORACLE["stream_clock"] = (
     _with(ARRIVALS) + "SELECT end_city, count(*) AS n, CAST(sum(cents) AS BIGINT) AS total FROM arrivals GROUP BY end_city"
 )

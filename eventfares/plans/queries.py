@@ -20,7 +20,7 @@ from eventfares.plans import concert_feed as feed_plan
 from eventfares.settings import FARE_DAYS, keep, new_path
 from eventfares.sources import feeds, pages, parse, sinks
 from eventfares.streaming import join as stream_join
-from eventfares.streaming import averages, latest, run, state
+from eventfares.streaming import averages, late, latest, run, state
 
 CENTS = 100.0
 SNAPSHOT_TIME = datetime(2018, 10, 31, tzinfo=timezone.utc)
@@ -631,6 +631,35 @@ def documents_current(spark, sf_dir):
     return sinks.current_documents(spark, f"{base}/documents").drop("batch")
 
 
+def late_rows(spark, sf_dir):
+    """Feeds that arrive in three shares, each on its own dates: what the join drops as too late."""
+    base = new_path(spark, "stream-late")
+    listed = tables.concerts(spark, sf_dir).select(
+        F.col("concert_id").alias("id"), F.lit(0).cast("bigint").alias("line"), "event_city", "event_date",
+        F.col("event_date").cast("timestamp").alias("arrival"), (F.col("concert_id") % 3).alias("share"),
+    )
+    priced = tables.arrivals(spark, sf_dir, also=("l_orderkey", "l_linenumber")).select(
+        F.col("l_orderkey").alias("id"), F.col("l_linenumber").cast("bigint").alias("line"), "end_city", "flight_date",
+        F.col("cents").alias("price"), F.col("flight_date").cast("timestamp").alias("arrival"), ((F.col("l_linenumber") - 1) % 3).alias("share"),
+    )
+    both = {"concerts": keep(listed, "late-concerts"), "fares": keep(priced, "late-fares")}
+    schemas = {name: rows.drop("share").schema for name, rows in both.items()}
+    for share in range(3):
+        for name, rows in both.items():
+            rows.where(F.col("share") == share).drop("share").write.mode("append").parquet(f"{base}/{name}")
+        streams = [spark.readStream.schema(schemas[name]).parquet(f"{base}/{name}") for name in both]
+        totals = stream_join.join_totals(*streams, interval=STREAM_INTERVAL, delay="400 days")
+        with late.one_watermark(spark):
+            run.run_once(stream_join.write_matches(totals, f"{base}/matches"), f"{base}/checkpoint")
+    dropped = [
+        late.late_records(spark.read.schema(schemas[name]).parquet(f"{base}/{name}"), f"{base}/checkpoint", STREAM_INTERVAL).select(
+            F.lit(name).alias("feed"), "id", "line", F.col("arrival").cast("date").cast("string").alias("arrival")
+        )
+        for name in both
+    ]
+    return dropped[0].unionByName(dropped[1])
+
+
 def stream_clock(spark, sf_dir):
     """Fares taken in by the processing-time clock, by a query that is stopped and started again."""
     base = new_path(spark, "stream-clock")
@@ -719,6 +748,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_running_avg_per_record,
         stream_average_fares_latest,
         documents_current,
+        late_rows,
         stream_clock,
         feed_stamps,
         fare_validity,

@@ -57,13 +57,15 @@ def concerts(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None)
     )
 
 
-def arrivals(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
-    """end_city, flight_date, cents: all that questions about a destination ask of a fare."""
+def arrivals(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None, also: tuple[str, ...] = ()) -> DataFrame:
+    """end_city, flight_date, cents: all that questions about a destination ask of a fare. And the
+    line item columns in `also`."""
     lines = lines if lines is not None else table(spark, sf_dir, "lineitem")
     return lines.join(_destinations(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey")).select(
         "end_city",
         F.col("l_shipdate").cast("date").alias("flight_date"),
         cents(F.col("l_extendedprice")).alias("cents"),
+        *also,
     )
 
 
