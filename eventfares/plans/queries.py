@@ -435,9 +435,9 @@ def page_items(spark, sf_dir):
     path = new_path(spark, "setlist-pages")
     spoiled = F.when(F.col("event_id") % 3 == 0, F.regexp_replace("body", '"encore":1', '"encore":true'))
     setlists = tables.setlist_bodies(spark, sf_dir).select("event_id", F.coalesce(spoiled, "body").alias("body"))
-    # By event, so that a folder is one file; the reader takes the event from its folder.
-    setlists.repartition("event_id").write.partitionBy("event_id").text(path)
-    sets, bad_sets = pages.read_setlist_pages(spark, path)
+    # The event stands in each line: a folder for each would make as many files as there are events.
+    setlists.write.json(path)
+    sets, bad_sets = pages.read_setlist_pages(spark, path, request="event_id bigint")
     parts = {"event": good, "setlist": sets}
     rows = [df.agg(F.lit(name).alias("kind"), F.lit("none").alias("reason"), F.count("*").alias("n"), F.sum("id").alias("ids")) for name, df in parts.items()]
     rows += [

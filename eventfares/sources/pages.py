@@ -13,9 +13,20 @@ EVENT_LIST = "event"
 SETLIST_LIST = "setlist"
 
 
-def page_bodies(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    """Page bodies below `path`: one per line, or one per file. Partition columns are kept."""
-    return spark.read.text(path, wholetext=whole_files).withColumnRenamed("value", "body")
+def page_bodies(spark: SparkSession, path: str, whole_files: bool = False, request: str | None = None) -> DataFrame:
+    """Page bodies below `path`: one per line, or one per file. Partition columns are kept.
+
+    With `request`, columns that say what a page was asked for, a line is a JSON record of them and
+    of the `body`, so that pages of many requests share a file. A line that is no such record is a
+    body itself, whose request is not known.
+    """
+    bodies = spark.read.text(path, wholetext=whole_files).withColumnRenamed("value", "body")
+    if request is None:
+        return bodies
+    others = [c for c in bodies.columns if c != "body"]
+    records = bodies.select("*", once(F.from_json("body", f"{request}, body string")).alias("_record"))
+    asked = [F.col(f"_record.{field.name}") for field in T.StructType.fromDDL(request)]
+    return records.select(*others, *asked, F.coalesce("_record.body", "body").alias("body"))
 
 
 def read_event_pages(
@@ -26,13 +37,15 @@ def read_event_pages(
 
 
 def read_setlist_pages(
-    spark: SparkSession, path: str, whole_files: bool = False
+    spark: SparkSession, path: str, whole_files: bool = False, request: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Setlists, one row each, and rejected pages and setlists.
 
-    The event a page was asked for is not in its body, so it is a partition: `path/event_id=...`.
+    The event a page was asked for is not in its body, so it is a partition, `path/event_id=...`, or
+    with a `request` of `event_id bigint` stands beside the body in its record (see `page_bodies`).
+    Folders are for a few events: their number grows with the events, that of files of records does not.
     """
-    return setlist_pages(page_bodies(spark, path, whole_files))
+    return setlist_pages(page_bodies(spark, path, whole_files, request))
 
 
 def event_pages(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
