@@ -6,6 +6,7 @@ Dates leave as ISO text, as they do in the result documents.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 from functools import reduce
@@ -29,6 +30,7 @@ AS_OF = "1999-01-01"
 # Feeds of a stream on the given tables arrive on their own dates, and meet month by month.
 STREAM_INTERVAL = "30 days"
 STREAM_DELAY = "36500 days"  # the tables are in no order of arrival: nothing may count as late
+DOCUMENT_BATCHES = 6
 
 
 def _text_dates(df: DataFrame) -> DataFrame:
@@ -618,7 +620,10 @@ def documents_current(spark, sf_dir):
     totals = stream_join.join_totals(*_table_feeds(spark, sf_dir), interval=STREAM_INTERVAL, delay=STREAM_DELAY)
     schema = totals.schema
     run.run_once(stream_join.write_matches(totals, f"{base}/matches"), f"{base}/checkpoints/matches")
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 3)
+    # A batch costs a task for each partition of the state, and every other one merges all documents. So
+    # the files, of which there is one for each partition, are shared out over a fixed number of batches.
+    n_files = len(spark.read.schema(schema).parquet(f"{base}/matches").inputFiles())
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max(3, math.ceil(n_files / DOCUMENT_BATCHES)))
     sent = sinks.sent_once(f"{base}/ledger", sinks.batches_to(f"{base}/documents", "json"))
 
     def send(documents, batch_id):

@@ -7,7 +7,7 @@ import os
 import pytest
 
 from eventfares.plans import queries
-from eventfares.sources import pages
+from eventfares.sources import pages, sinks
 
 N_EVENTS = 40
 
@@ -71,3 +71,18 @@ def test_setlist_pages_are_no_file_for_each_event(spark, tables, made):
     assert rows["setlist", "none"] == (52, 26) and rows["setlist", "bad setlist"] == (28, 14)
     files = [f for _, _, names in os.walk(made["setlist-pages"]) for f in names if f.startswith("part-")]
     assert 0 < len(files) < N_EVENTS / 2
+
+
+def test_batches_of_documents_do_not_grow_with_partitions(spark, tables, made):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 40)
+    try:
+        documents = {(r.event_city, r.event_date[:10]): r.avg_price for r in queries.documents_current(spark, tables).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    batches = sinks.folders(spark, f"{made['stream-current']}/documents", "batch")
+    assert 4 <= len(batches) <= queries.DOCUMENT_BATCHES
+    assert sinks.folders(spark, f"{made['stream-current']}/documents-current", "version")
+    # Feeds meet within 30 days counted from 1970-01-01, which begin anew on 1999-01-29 and 1999-02-28.
+    assert documents["NATION_1", "1999-01-02"] == 2.0 and ("NATION_1", "1999-01-29") not in documents
+    assert len(documents) == 3 * (60 - 3)
