@@ -74,23 +74,27 @@ def _places(batch: DataFrame, total: T.DataType) -> DataFrame:
 
 
 def _offsets(parts: DataFrame, before: DataFrame) -> DataFrame:
-    """What comes before each sub-key: `total, n`. A key has a row for each scan task here."""
+    """What comes before each sub-key: `total_before, n_before`. A key has a row for each scan task here."""
     earlier = Window.partitionBy(*KEY).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # What earlier batches left is a sub-key ahead of all others.
     sums = parts.unionByName(before.withColumn("part", F.lit(-1).cast("bigint")))
     offsets = sums.select(*KEY, "part", F.sum("total").over(earlier).alias("total_before"), F.sum("n").over(earlier).alias("n_before"))
-    return offsets.where("part >= 0").select(*[F.col(c).alias(f"of_{c}") for c in (*KEY, "part")], "total_before", "n_before")
+    return offsets.where("part >= 0")
 
 
 def _averages(placed: DataFrame, offsets: DataFrame, unit: float) -> DataFrame:
+    # A sub-key's offset is a row ahead of its records: it meets them by the sort that their sums need
+    # anyway, where a join would shuffle and sort all records again.
+    rows = placed.unionByName(offsets.withColumn("place", F.lit(-1).cast("bigint")), allowMissingColumns=True)
     so_far = Window.partitionBy(*KEY, "part").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    running = placed.select(*KEY, "part", F.sum("total").over(so_far).alias("total"), F.sum("n").over(so_far).alias("n"))
-    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in (*KEY, "part")]
+    running = rows.select(
+        *KEY, "place", *[F.sum(c).over(so_far).alias(c) for c in ("total", "n")],
+        *[F.first(c).over(so_far).alias(c) for c in ("total_before", "n_before")],
+    ).where("place >= 0")
     zero = F.lit(0)
     total = F.coalesce("total", zero).cast("double") + F.coalesce("total_before", zero).cast("double")
     n = F.col("n") + F.coalesce("n_before", zero)
-    joined = running.join(offsets, same, "left")
-    return joined.select(*KEY, (F.try_divide(total, n) / F.lit(unit)).alias("avg_price"), n.cast("bigint").alias("n"))
+    return running.select(*KEY, (F.try_divide(total, n) / F.lit(unit)).alias("avg_price"), n.cast("bigint").alias("n"))
 
 
 def sums_of(spark: SparkSession, state: str, total: T.DataType) -> Parts:

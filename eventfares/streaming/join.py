@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from eventfares.functions.scalars import days_before
 from eventfares.settings import ARRIVAL_DELAY, BATCH_INTERVAL, DAYS_BEFORE
 from eventfares.sources.feeds import ARRIVAL
-from eventfares.streaming.combine import combine
+from eventfares.streaming.combine import combine, combine_lists
 from eventfares.streaming.hot import Salts
 
 
@@ -29,7 +29,8 @@ def join_feeds(
     concerts, and never one per pair.
 
     The range of dates and the shared interval are equalities here, so the join keeps its state per
-    (interval, city, date). A row leaves the state once arrivals are `delay` past its interval;
+    (interval, city, date); it keeps fares in lists, as a row of state for each would not fit in
+    memory. A row leaves the state once arrivals are `delay` past its interval;
     until then it meets every later partner, so `delay` must cover how far arrivals are out of order.
     What comes later still is dropped and counted (see `run.late_rows`).
 
@@ -42,23 +43,21 @@ def join_feeds(
     else:
         n_salts = lambda city, start: salts(city, start).cast("long")
     held = combine(concerts, interval, ["event_city", "event_date"])
-    fares = combine(flights, interval, [c for c in flights.columns if c != ARRIVAL])
+    columns = [c for c in flights.columns if c != ARRIVAL]
+    salt = F.pmod(F.xxhash64(*columns), n_salts(F.col("end_city"), F.col(ARRIVAL)))
+    fares = combine_lists(flights, interval, columns, ["end_city", "flight_date"], salt)
     wanted = (
         _in_interval(held, interval, delay)
         .withColumnRenamed("n", "_concerts")
         .withColumn("flight_date", F.explode(days_before(F.col("event_date"), days)))
         .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), n_salts(F.col("event_city"), F.col("interval.start")) - 1)))
     )
-    content = F.xxhash64(*[c for c in flights.columns if c != ARRIVAL])
-    served = (
-        _in_interval(fares, interval, delay)
-        .withColumn("_salt", F.pmod(content, n_salts(F.col("end_city"), F.col("interval.start"))))
-        .withColumnRenamed("n", "_fares")
-        .withColumnRenamed("end_city", "event_city")
-    )
+    served = _in_interval(fares, interval, delay).withColumnRenamed("end_city", "event_city")
     matches = wanted.join(served, ["interval", "event_city", "flight_date", "_salt"])
-    weight = F.col("_concerts") * F.col("_fares")
-    return matches.withColumn("weight", weight).drop("_salt", "_concerts", "_fares")
+    fare = matches.select("interval", "event_city", "flight_date", "event_date", "_concerts", F.explode("rows").alias("_fare"))
+    others = [F.col("_fare")[c].alias(c) for c in columns if c not in ("end_city", "flight_date")]
+    weight = F.col("_concerts") * F.col("_fare.n")
+    return fare.select("interval", "event_city", "flight_date", "event_date", *others, weight.alias("weight"))
 
 
 def join_totals(

@@ -3,11 +3,15 @@
 import datetime as dt
 import json
 import os
+from collections import Counter
 
 import pytest
 
 from eventfares.plans import queries
 from eventfares.sources import pages, sinks
+from eventfares.streaming import averages, combine, join, run
+
+from .conftest import day
 
 N_EVENTS = 40
 
@@ -86,3 +90,34 @@ def test_batches_of_documents_do_not_grow_with_partitions(spark, tables, made):
     # Feeds meet within 30 days counted from 1970-01-01, which begin anew on 1999-01-29 and 1999-02-28.
     assert documents["NATION_1", "1999-01-02"] == 2.0 and ("NATION_1", "1999-01-29") not in documents
     assert len(documents) == 3 * (60 - 3)
+
+
+@pytest.mark.parametrize("listed", [1_000, 7])
+def test_join_state_is_no_row_for_each_fare(spark, tmp_path, monkeypatch, listed):
+    monkeypatch.setattr(combine, "LISTED_ROWS", listed)
+    at, n = dt.datetime(2020, 1, 1, 12), 300
+    concerts = [(day(d), "Rome", at) for d in ("2020-02-02", "2020-02-02", "2020-02-04")] + [(day("2020-02-02"), None, at)]
+    fares = [("Rome", day(d), p, at) for d in ("2020-02-01", "2020-02-03") for p in range(n)]
+    fares += [("Rome", day("2020-02-01"), 5, at), ("Rome", day("2020-02-01"), None, at), ("Rome", None, 1, at), (None, day("2020-02-01"), 1, at)]
+    spark.createDataFrame(concerts, "event_date date, event_city string, arrival timestamp").write.parquet(f"{tmp_path}/concerts")
+    spark.createDataFrame(fares, "end_city string, flight_date date, price bigint, arrival timestamp").write.parquet(f"{tmp_path}/fares")
+    both = [spark.readStream.schema(spark.read.parquet(p).schema).parquet(p) for p in (f"{tmp_path}/concerts", f"{tmp_path}/fares")]
+    matches = join.join_feeds(*both, interval="1 day", delay="1 day", salts=2).select("event_date", "price", "weight")
+    query = run.start(join.write_matches(matches, f"{tmp_path}/matches"), f"{tmp_path}/checkpoint", once=True)
+    query.awaitTermination()
+    found = Counter((str(r.event_date), r.price, r.weight) for r in spark.read.parquet(f"{tmp_path}/matches").collect())
+    # The fares of the 1st serve both dates, those of the 3rd the 4th alone.
+    wanted = Counter(("2020-02-02", p, 4 if p == 5 else 2) for p in [*range(n), None])
+    wanted += Counter(("2020-02-04", p, 2 if p == 5 else 1) for p in [*range(n), None]) + Counter(("2020-02-04", p, 1) for p in range(n))
+    assert found == wanted
+    rows = max(operator["numRowsTotal"] for progress in query.recentProgress for operator in progress["stateOperators"])
+    assert rows < 2 * n / 3
+
+
+def test_running_averages_need_no_join_of_all_records(spark):
+    schema = "event_city string, event_date date, part bigint, "
+    placed = spark.createDataFrame([("Rome", None, 1, 7, 1, 4), (None, None, 1, None, 0, 5), ("Rome", None, 1, 8, 1, 3)], schema + "total bigint, n bigint, place bigint")
+    offsets = spark.createDataFrame([("Rome", None, 1, 10, 2), (None, None, 1, None, None)], schema + "total_before bigint, n_before bigint")
+    rows = averages._averages(placed, offsets, 1.0)
+    assert "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert Counter((r.event_city, r.avg_price, r.n) for r in rows.collect()) == Counter([("Rome", 6.0, 3), ("Rome", 6.25, 4), (None, None, 0)])
